@@ -2,35 +2,38 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _sortable(data_type: T.DataType) -> bool:
-    return not isinstance(data_type, (T.MapType, T.VariantType))
+def _order(name: str, direction: str) -> Column:
+    column = F.col(f"`{name}`")
+    return column.desc_nulls_last() if direction == "desc" else column.asc_nulls_last()
 
 
-def keep_first(df: DataFrame, keys: Iterable[str], order: Iterable[Column]) -> DataFrame:
+def keep_first(df: DataFrame, keys: Sequence[str], order: Mapping[str, str]) -> DataFrame:
     """The first row of each key; NULL is a key value like any other.
 
-    All remaining columns break ties, so the result does not depend on how rows are
-    spread over tasks.  Ranking is limited to one row per key before the shuffle too,
-    so a key holding a large share of the rows sends one row per map task.
+    ``order`` maps columns to ``asc`` or ``desc``, NULLs last either way.  All other
+    columns break ties, so the result does not depend on how rows are spread over
+    tasks.  Ranking is limited to one row per key before the shuffle too, so a key
+    holding a large share of the rows sends one row per map task.
     """
-    keys = list(keys)
-    ties = [
-        F.col(f"`{field.name}`").asc_nulls_last()
+    settled = {*keys, *order}
+    ties = {
+        field.name: "asc"
         for field in df.schema
-        if field.name not in keys and _sortable(field.dataType)
-    ]
-    window = Window.partitionBy(*[f"`{k}`" for k in keys]).orderBy(*order, *ties)
+        if field.name not in settled and not isinstance(field.dataType, (T.MapType, T.VariantType))
+    }
+    window = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(
+        *[_order(name, direction) for name, direction in {**order, **ties}.items()]
+    )
     return df.withColumn("__rank", F.row_number().over(window)).filter("__rank = 1").drop("__rank")
 
 
-def keep_latest(df: DataFrame, keys: Iterable[str], loaded_at: str, file_name: str) -> DataFrame:
+def keep_latest(df: DataFrame, keys: Sequence[str], loaded_at: str, file_name: str) -> DataFrame:
     """The latest load of each key; of one load, the first file by name."""
-    order = [F.col(loaded_at).desc_nulls_last(), F.col(file_name).asc_nulls_last()]
-    return keep_first(df, keys, order)
+    return keep_first(df, keys, {loaded_at: "desc", file_name: "asc"})

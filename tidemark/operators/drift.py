@@ -95,6 +95,8 @@ def _typed(column: Column, source: T.DataType, spec: ColumnSpec, oldest: date |
     if spec.is_date:
         day = parse_date(column, source)
         return day if oldest is None else F.when(day >= F.lit(oldest), day)
+    if source.simpleString() == spec.type:
+        return column
     if spec.type == "string":
         return as_text(column, source)
     if isinstance(source, T.StringType):
@@ -122,18 +124,18 @@ def align(df: DataFrame, spec: TableSpec, source: SourceSpec) -> DataFrame:
     types = {field.name.lower(): field.dataType for field in df.schema}
     legacy = spec.legacy_marker is not None and spec.legacy_marker in by_lower
 
-    columns = []
+    columns, present = [], set()
     for column in spec.columns:
         candidates = column.legacy if legacy and column.legacy else column.sources
         found = pick(by_lower, candidates)
         if found is None and column.required:
             raise MissingColumn(f"{source.table}: no column for {column.name} in {candidates}")
-        value = (
-            F.lit(None)
-            if found is None
-            else _typed(quoted(by_lower[found]), types[found], column, spec.min_valid_date)
-        )
-        columns.append(value.cast(column.type).alias(column.name))
+        if found is None:
+            value = F.lit(None).cast(column.type)
+        else:
+            value = _typed(quoted(by_lower[found]), types[found], column, spec.min_valid_date)
+            present.add(column.name)
+        columns.append(value.alias(column.name))
 
     if source.start is not None or source.end is not None:
         window = next(c for c in spec.columns if c.name == spec.window_column)
@@ -143,11 +145,12 @@ def align(df: DataFrame, spec: TableSpec, source: SourceSpec) -> DataFrame:
         df = df.filter(_in_window(raw, types[found], day, source))
 
     # Dates are parsed once, in this projection; the guards read the parsed columns.
+    # A date the source does not have at all guards nothing.
     parsed = df.select(*columns)
     guarded = [
         between_dates(F.col(c.name), *(F.col(d) for d in c.spans)).alias(c.name)
-        if c.spans
-        else F.col(c.name)
+        if c.spans and present.issuperset(c.spans)
+        else c.name
         for c in spec.columns
     ]
     return parsed.select(*guarded, F.lit(source.period).alias(spec.period_column))

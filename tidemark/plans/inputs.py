@@ -148,11 +148,12 @@ def bronze_legs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Drifted Bronze tables that together hold every line item."""
     items = read(spark, sf_dir, "lineitem")
     shipped = F.col("l_shipdate")
+    leg = _leg_columns()
     tables = {}
     for name, template, first, end in CONTENTS:
         day = "timestamp_ntz"
         part = items.filter((shipped >= F.lit(first).cast(day)) & (shipped < F.lit(end).cast(day)))
-        columns = _template(_leg_columns(), template)
+        columns = _template(leg, template)
         tables[name] = part.select(*[value.alias(column) for column, value in columns.items()])
     # A summary tab has too few columns to be a source, whatever its name.
     summary = "shipment_lead_time_2000_q4_summary"

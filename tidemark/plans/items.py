@@ -139,8 +139,8 @@ def type_items(bronze: DataFrame) -> DataFrame:
 
 def one_per_sku(items: DataFrame) -> DataFrame:
     """One row per SKU, rows whose lookups found something first."""
-    order = [F.col(c).asc_nulls_last() for c in fixed.ITEM_PREFERENCE]
-    return keep_first(items.filter(F.col("sku").isNotNull()), ["sku"], order)
+    known = items.filter(F.col("sku").isNotNull())
+    return keep_first(known, ["sku"], dict.fromkeys(fixed.ITEM_PREFERENCE, "asc"))
 
 
 def build_item_silver(bronze: DataFrame) -> DataFrame:

@@ -534,9 +534,10 @@ def _wide_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT "Phase", phase_alias, phase_order, phase_group, benchmark_days, is_assumption,
            count(*) AS rows, count(v) AS filled,
            CAST(CAST(sum(CAST(v AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS VARCHAR) AS total,
-           min(md5(CAST(l_shipdate AS DATE) || '|' || l_orderkey || '|' || l_linenumber || '|'
-                   || ifnull(NULLIF(o_orderstatus, 'P'), '<NULL>') || '|' || "Phase" || '|'
-                   || o_orderpriority || '|' || l_linestatus)) AS first_key
+           CAST(sum(CAST('0x' || left(md5(
+               CAST(l_shipdate AS DATE) || '|' || l_orderkey || '|' || l_linenumber || '|'
+               || ifnull(NULLIF(o_orderstatus, 'P'), '<NULL>') || '|' || "Phase" || '|'
+               || o_orderpriority || '|' || l_linestatus), 7) AS BIGINT)) AS VARCHAR) AS key_sum
     FROM valued GROUP BY ALL
     """,
 )
@@ -551,7 +552,9 @@ def dim_phase(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.count("*").alias("rows"),
             F.count("Value").alias("filled"),
             F.sum(F.col("Value").cast("decimal(18,2)")).cast("decimal(28,2)").alias("total"),
-            F.min("fact_row_key").alias("first_key"),
+            F.sum(F.conv(F.left("fact_row_key", F.lit(7)), 16, 10).cast("decimal(18,0)")).alias(
+                "key_sum"
+            ),
         )
     )
     path = f"{work_folder(spark)}/phases_{uuid.uuid4().hex}"

@@ -21,6 +21,8 @@ def build_session(
         "spark.ui.enabled": "false",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.ansi.enabled": "true",
+        # Every column call would look up its call site for error messages.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.files.maxPartitionBytes": str(PARTITION_BYTES),
