@@ -11,30 +11,31 @@ YEAR_FIRST = (
     r"^(\d{4}([-/ ])\d{1,2}\2\d{1,2})"
     r"(?:[ T]\d{1,2}:[0-5]?\d(?::[0-5]?\d(?:\.\d+)?)?)?$"
 )
-MONTH_FIRST_SHORT_YEAR = r"^\d{1,2}/\d{1,2}/\d{2}$"
-MONTH_FIRST_SLASH = r"^\d{1,2}/\d{1,2}/\d{4}$"
-MONTH_FIRST_DASH = r"^\d{1,2}-\d{1,2}-\d{4}$"
 
-# Two-digit years from here on belong to the previous century.
-SHORT_YEAR_PIVOT = 2069
+# Month first, and the same date with the year first.  A two-digit year below 69 is in
+# this century.
+MONTH_FIRST = [
+    (r"^(\d{1,2})([-/])(\d{1,2})\2(\d{4})$", "$4-$1-$3"),
+    (r"^(\d{1,2})/(\d{1,2})/([0-5]\d|6[0-8])$", "20$3-$1-$2"),
+    (r"^(\d{1,2})/(\d{1,2})/(69|[7-9]\d)$", "19$3-$1-$2"),
+]
 
 
 def parse_date_text(text: Column) -> Column:
     """Date of a text in any accepted form, NULL for everything else.
 
     Each pattern is anchored, so a bare year, a serial number or trailing junk is
-    not a date.  Year-first texts, the usual case, cost one match and one parse.
+    not a date.  Year-first texts, the usual case, cost one match; the calendar check
+    is Spark's own date cast.
     """
     value = F.btrim(text, F.lit(" \t\r\n"))
     year_first = F.translate(F.regexp_extract(value, YEAR_FIRST, 1), "/ ", "--")
-    short = F.try_to_date(value, "M/d/yy")
-    short = F.when(F.year(short) >= SHORT_YEAR_PIVOT, F.add_months(short, -1200)).otherwise(short)
-    return F.coalesce(
-        F.try_to_date(year_first, "yyyy-M-d"),
-        F.when(value.rlike(MONTH_FIRST_SHORT_YEAR), short)
-        .when(value.rlike(MONTH_FIRST_SLASH), F.try_to_date(value, "M/d/yyyy"))
-        .when(value.rlike(MONTH_FIRST_DASH), F.try_to_date(value, "M-d-yyyy")),
-    )
+    month_first = F.lit(None).cast("string")
+    for pattern, rewritten in reversed(MONTH_FIRST):
+        month_first = F.when(
+            value.rlike(pattern), F.regexp_replace(value, pattern, rewritten)
+        ).otherwise(month_first)
+    return F.coalesce(year_first.try_cast("date"), month_first.try_cast("date"))
 
 
 def parse_date(column: Column, data_type: T.DataType) -> Column:

@@ -14,10 +14,9 @@ def strict_decimal(text: Column, decimal_type: str) -> Column:
     The failure is raised explicitly, so it does not depend on ANSI mode.
     """
     value = blank_to_null(text)
-    number = value.try_cast(decimal_type)
     message = F.concat(F.lit("not a " + decimal_type + ": "), value)
-    bad = value.isNotNull() & number.isNull()
-    return F.when(bad, F.raise_error(message).cast(decimal_type)).otherwise(number)
+    failure = F.when(value.isNotNull(), F.raise_error(message).cast(decimal_type))
+    return F.coalesce(value.try_cast(decimal_type), failure)
 
 
 def price(amount: Column) -> Column:

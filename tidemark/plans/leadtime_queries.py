@@ -16,7 +16,7 @@ from tidemark.operators.dedup import keep_latest
 from tidemark.operators.drift import ColumnSpec, SourceSpec, TableSpec, align_all
 from tidemark.operators.joins import Lookup, left_lookups
 from tidemark.operators.landing import INSERT_TS, SOURCE_FILE
-from tidemark.plans.inputs import FIRST_PERIOD, MAPPED, bronze_legs, order_legs, read
+from tidemark.plans.inputs import FIRST_PERIOD, MAPPED, bronze_legs, order_legs, read, read_spread
 from tidemark.plans.leadtime import (
     LEG_TABLE,
     NULL_COLUMNS,
@@ -351,7 +351,7 @@ def port_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = read(spark, sf_dir, "lineitem")
+    items = read_spread(spark, sf_dir, "lineitem")
     return keep_latest(items, ["l_orderkey", "l_linenumber"], "l_shipdate", "l_returnflag")
 
 
@@ -467,7 +467,7 @@ def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _wide_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with their order as legs: ship and order dates and nine measures."""
-    items = read(spark, sf_dir, "lineitem").select(
+    items = read_spread(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate",
         F.col("l_extendedprice").alias("price"),
     )

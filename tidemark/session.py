@@ -23,6 +23,9 @@ def build_session(
         "spark.sql.ansi.enabled": "true",
         # Every column call would look up its call site for error messages.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
+        # The JVM only interprets methods above this size; wide projections are then
+        # better off compiled expression by expression.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.files.maxPartitionBytes": str(PARTITION_BYTES),
