@@ -124,12 +124,12 @@ def test_calendar(spark):
 )
 def test_port(spark, raw, name):
     df = column(spark, [raw], "string")
-    assert results(df, text.port_name(F.col("v"))) == [name]
+    assert results(df, text.port_name(text.port_text(F.col("v")))) == [name]
 
 
 def test_every_synonym(spark):
     df = column(spark, [f" {w.upper()} " for w in fixed.PORT_SYNONYMS], "string")
-    found = results(df, text.port_name(F.col("v")))
+    found = results(df, text.port_name(text.port_text(F.col("v"))))
     assert found == [name.upper() for name in fixed.PORT_SYNONYMS.values()]
 
 

@@ -17,7 +17,7 @@ from tidemark.plans.leadtime import (
     run_leadtime,
     silver_reports,
 )
-from tidemark.sources.files import NoMatchingFiles, file_manifest, read_phases
+from tidemark.sources.files import NoMatchingFiles, file_manifest, read_phases, write_phases
 from tidemark.sources.lake import Lake
 from tidemark.sources.workbook import decode_workbook, sheet_headers
 
@@ -102,11 +102,8 @@ def lake(spark, folder):
 
 @pytest.fixture
 def phases(spark, folder):
-    path = folder + "/phases"
-    spark.createDataFrame(fixed.PHASES[::-1], fixed.PHASE_SCHEMA).coalesce(1).write.csv(
-        path, header=True
-    )
-    return path
+    write_phases(spark, folder + "/phases")
+    return folder + "/phases"
 
 
 def test_manifest(spark, folder):

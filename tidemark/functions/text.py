@@ -27,13 +27,17 @@ def collapse_spaces(text: Column) -> Column:
     return F.regexp_replace(text, r"[ \t\n\f\r]+", " ")
 
 
+def port_text(text: Column) -> Column:
+    """Port as lower-case text with single spaces; blanks become NULL."""
+    return blank_to_null(F.lower(collapse_spaces(text)))
+
+
 def port_name(text: Column, synonyms: Mapping[str, str] = fixed.PORT_SYNONYMS) -> Column:
-    """Upper-case port name with known misspellings replaced."""
-    name = blank_to_null(F.lower(collapse_spaces(text)))
-    if synonyms:
-        pairs = F.create_map(*[F.lit(word) for pair in synonyms.items() for word in pair])
-        name = F.coalesce(F.try_element_at(pairs, name), name)
-    return F.upper(name)
+    """Upper-case port name of a :func:`port_text`, known misspellings replaced."""
+    if not synonyms:
+        return F.upper(text)
+    pairs = F.create_map(*[F.lit(word) for pair in synonyms.items() for word in pair])
+    return F.upper(F.coalesce(F.try_element_at(pairs, text), text))
 
 
 def clean_header(name: str) -> str:

@@ -17,6 +17,7 @@ from tidemark.functions.text import (
     clean_table_name,
     code_text,
     port_name,
+    port_text,
     row_key,
     table_name,
 )
@@ -112,7 +113,8 @@ STATIC_SOURCES = [*HISTORICAL[:-1], replace(HISTORICAL[-1], end=None)]
 def normalize(legs: DataFrame) -> DataFrame:
     """Trim and case the descriptive columns; measures, dates and lineage pass through."""
     codes = ["wh", "div", "container_size", "customer", "region"]
-    return legs.withColumns({
+    # Two steps, so that the port text is computed once and then looked up.
+    return legs.withColumn("port", port_text(F.col("port"))).withColumns({
         **{c: code_text(F.col(c)) for c in codes},
         **{c: blank_to_null(F.col(c)) for c in ["asn", "folio"]},
         "port": port_name(F.col("port")),
@@ -277,20 +279,19 @@ def load_bronze(
         bad = decoded.filter("error is not null").select("file_name", "error").collect()
         failures += [f"{row.file_name}: {row.error}" for row in bad]
         bad_files = {row.file_name for row in bad}
-        tabs = (
-            decoded.filter("error is null")
-            .groupBy("table", "file_name", "tab")
-            .agg(
-                F.max(F.size("cells")).alias("width"),
-                F.max(F.when(F.col("row_no") == 1, F.col("cells"))).alias("first_row"),
-            )
-            .collect()
-        )
+        good = decoded.filter("error is null")
+        tab_key = ["table", "file_name", "tab"]
+        first_rows = {
+            (row.table, row.file_name, row.tab): row.cells
+            for row in good.filter("row_no = 1").select(*tab_key, "cells").collect()
+        }
+        widths = good.groupBy(*tab_key).agg(F.max(F.size("cells")).alias("width")).collect()
 
         def land(tab) -> str | None:
-            part = decoded.filter(F.col("table") == tab.table).filter("error is null")
+            part = good.filter(F.col("table") == tab.table)
             part = part.filter((F.col("file_name") == tab.file_name) & (F.col("tab") == tab.tab))
-            headers = sheet_headers(tab.first_row or [], tab.width)
+            first_row = first_rows.get((tab.table, tab.file_name, tab.tab), [])
+            headers = sheet_headers(first_row, tab.width)
             try:
                 table = land_tab(part, headers, tab.file_name, tab.tab)
                 lake.write("bronze", tab.table, stamp(table, run_ts, tab.file_name))
@@ -299,7 +300,7 @@ def load_bronze(
             landed.append(tab.table)
             return None
 
-        wanted = sorted((t for t in tabs if t.file_name not in bad_files), key=lambda t: t.table)
+        wanted = sorted((t for t in widths if t.file_name not in bad_files), key=lambda t: t.table)
         with ThreadPoolExecutor(parallel_tabs) as pool:
             failures += [problem for problem in pool.map(land, wanted) if problem]
     if failures:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fixed
 from tidemark.functions.dates import calendar_columns, days_between, parse_date
-from tidemark.functions.text import code_text, port_name
+from tidemark.functions.text import code_text, port_name, port_text
 from tidemark.operators import quality
 from tidemark.operators.dedup import keep_latest
 from tidemark.operators.drift import ColumnSpec, SourceSpec, TableSpec, align_all
@@ -29,7 +29,7 @@ from tidemark.plans.leadtime import (
     unpivot_phases,
 )
 from tidemark.plans.registry import query
-from tidemark.sources.files import read_phases
+from tidemark.sources.files import read_phases, write_phases
 from tidemark.sources.lake import work_folder
 
 # ---------------------------------------------------------------- drift
@@ -335,7 +335,9 @@ def port_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(segment == "BUILDING", "Hochiminh")
         .otherwise(F.concat(F.lit("port "), "c_name"))
     )
-    return read(spark, sf_dir, "customer").select("c_custkey", port_name(raw).alias("port"))
+    return read(spark, sf_dir, "customer").select(
+        "c_custkey", port_name(port_text(raw)).alias("port")
+    )
 
 
 @query(
@@ -533,11 +535,11 @@ def _wide_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     SELECT "Phase", phase_alias, phase_order, phase_group, benchmark_days, is_assumption,
            count(*) AS rows, count(v) AS filled,
-           CAST(CAST(sum(CAST(v AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS VARCHAR) AS total,
-           CAST(sum(CAST('0x' || left(md5(
+           CAST(sum(CAST(round(v * 100) AS BIGINT)) AS VARCHAR) AS total_hundredths,
+           CAST(sum(ascii(md5(
                CAST(l_shipdate AS DATE) || '|' || l_orderkey || '|' || l_linenumber || '|'
                || ifnull(NULLIF(o_orderstatus, 'P'), '<NULL>') || '|' || "Phase" || '|'
-               || o_orderpriority || '|' || l_linestatus), 7) AS BIGINT)) AS VARCHAR) AS key_sum
+               || o_orderpriority || '|' || l_linestatus))) AS BIGINT) AS key_sum
     FROM valued GROUP BY ALL
     """,
 )
@@ -545,20 +547,19 @@ def dim_phase(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: join, keep latest, unpivot, row key, and totals per phase in
     business order, with the phase master read from CSV."""
     legs = keep_latest(_wide_legs(spark, sf_dir), fixed.LEG_KEY, INSERT_TS, SOURCE_FILE)
+    hundredths = F.round(F.col("Value") * 100).cast("bigint")
     per_phase = (
         build_fact(legs)
         .groupBy("Phase")
         .agg(
             F.count("*").alias("rows"),
             F.count("Value").alias("filled"),
-            F.sum(F.col("Value").cast("decimal(18,2)")).cast("decimal(28,2)").alias("total"),
-            F.sum(F.conv(F.left("fact_row_key", F.lit(7)), 16, 10).cast("decimal(18,0)")).alias(
-                "key_sum"
-            ),
+            F.sum(hundredths.cast("decimal(18,0)")).alias("total_hundredths"),
+            F.sum(F.ascii("fact_row_key")).alias("key_sum"),
         )
     )
     path = f"{work_folder(spark)}/phases_{uuid.uuid4().hex}"
-    spark.createDataFrame(fixed.PHASES, fixed.PHASE_SCHEMA).coalesce(1).write.csv(path, header=True)
+    write_phases(spark, path)
     return read_phases(spark, path).join(per_phase, "Phase").orderBy("phase_order")
 
 

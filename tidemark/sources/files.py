@@ -46,3 +46,9 @@ def read_phases(spark: SparkSession, path: str) -> DataFrame:
     """The phase master, in business order."""
     reader = spark.read.schema(fixed.PHASE_SCHEMA).option("header", True)
     return reader.csv(path).orderBy(F.col("phase_order").asc_nulls_last())
+
+
+def write_phases(spark: SparkSession, path: str) -> None:
+    """The known phases as a CSV master to maintain by hand."""
+    phases = spark.createDataFrame(fixed.PHASES, fixed.PHASE_SCHEMA)
+    phases.coalesce(1).write.csv(path, header=True)
