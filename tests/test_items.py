@@ -1,5 +1,6 @@
 """ERP tables to item dimension."""
 
+import json
 import os
 from datetime import datetime, timezone
 from decimal import Decimal
@@ -8,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fixed
+from tidemark.__main__ import main
 from tidemark.operators.publish import EmptyExtract
 from tidemark.operators.quality import DataQualityError, enforce, grain_gate
 from tidemark.plans.items import (
@@ -184,3 +186,10 @@ def test_company_filter_is_a_plain_equality(spark, folder):
     spark.range(10).select(F.col("id").cast("int").alias("CONO")).write.parquet(folder + "/t")
     rows = one_company(spark.read.parquet(folder + "/t"), "CONO", 3)
     assert "EqualTo(CONO,3)" in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_command_line(spark, erp, folder):
+    settings = {"lake": folder + "/lake", "company": 1, "erp_parquet": erp.root}
+    with open(folder + "/settings.json", "w") as stream:
+        json.dump(settings, stream)
+    assert main(["items", folder + "/settings.json"]) == {BRONZE: 10, SILVER: 4, GOLD: 4}

@@ -1,5 +1,6 @@
 """Workbooks to star schema, end to end."""
 
+import json
 import os
 from datetime import date, datetime, timezone
 
@@ -8,6 +9,7 @@ import xlsx
 from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fixed
+from tidemark.__main__ import main
 from tidemark.operators.quality import DataQualityError
 from tidemark.plans.leadtime import (
     SILVER,
@@ -238,3 +240,16 @@ def test_a_large_tab_streams_in_batches(spark, folder, lake):
     assert load_bronze(lake, [FetchTask(folder + "/in", "lead")], TS) == ["big_lead_time_t"]
     table = lake.read("bronze", "big_lead_time_t")
     assert table.agg(F.count("asn"), F.sum(F.col("v").cast("long"))).first() == (10_000, 49_995_000)
+
+
+def test_command_line(spark, folder, phases, capsys):
+    workbooks(folder + "/in")
+    settings = {
+        "lake": folder + "/lake",
+        "fetch": [{"folder": folder + "/in", "keyword": "Shipment Lead Time"}],
+        "phases": phases,
+    }
+    with open(folder + "/settings.json", "w") as stream:
+        json.dump(settings, stream)
+    assert main(["leadtime", folder + "/settings.json"])["fact_leadtime"] == 27
+    assert "fact_leadtime: 27 rows" in capsys.readouterr().out
