@@ -79,7 +79,12 @@ def as_text(column: Column, data_type: T.DataType) -> Column:
     )
 
 
-def row_key(columns: Iterable[Column]) -> Column:
-    """MD5 over the columns in order; NULLs have their own mark."""
+def key_text(columns: Iterable[Column]) -> Column:
+    """The columns in order as one text; NULLs have their own mark."""
     marked = [F.coalesce(c.cast("string"), F.lit(fixed.KEY_NULL)) for c in columns]
-    return F.md5(F.concat_ws(fixed.KEY_SEPARATOR, *marked))
+    return F.concat_ws(fixed.KEY_SEPARATOR, *marked)
+
+
+def row_key(columns: Iterable[Column]) -> Column:
+    """MD5 over the columns in order."""
+    return F.md5(key_text(columns))

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -218,10 +219,13 @@ def discover_sources(
     if not tables:
         return []
     spark = next(iter(tables.values())).sparkSession
+    # An Arrow table of this size is a local relation: it is judged without a job.
     listing = spark.createDataFrame(
-        [(name, [c.lower() for c in df.columns]) for name, df in tables.items()],
-        "table_name string, columns array<string>",
+        pa.table({
+            "table_name": list(tables),
+            "columns": [[c.lower() for c in df.columns] for df in tables.values()],
+        })
     )
     judged = classify_tables(listing, spec.required_groups, skipped, first_period)
-    found = judged.filter("is_source").orderBy("year", "quarter", "table_name")
-    return [SourceSpec(row.period, row.table_name) for row in found.collect()]
+    found = judged.filter("is_source").select("year", "quarter", "table_name", "period").collect()
+    return [SourceSpec(row.period, row.table_name) for row in sorted(found)]

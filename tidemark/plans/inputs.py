@@ -50,6 +50,10 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Columns that tell the rows of a table apart, to spread them by.
+SPREAD_BY = {"lineitem": ["l_orderkey", "l_linenumber", "l_shipdate"], "orders": ["o_orderkey"]}
+
+
 def read_spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """:func:`read`, with the rows of a file too small to split spread over the cores.
 
@@ -58,7 +62,9 @@ def read_spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """
     table = read(spark, sf_dir, name)
     cores = spark.sparkContext.defaultParallelism
-    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
+    if table.rdd.getNumPartitions() >= cores:
+        return table
+    return table.repartition(cores, *SPREAD_BY[name])
 
 
 def _days(days: int) -> Column:

@@ -16,6 +16,7 @@ from tidemark.functions.text import (
     blank_to_null,
     clean_table_name,
     code_text,
+    key_text,
     port_name,
     port_text,
     row_key,
@@ -186,13 +187,22 @@ def unpivot_phases(silver: DataFrame) -> DataFrame:
 def build_fact(silver: DataFrame) -> DataFrame:
     """The lead-time fact: phases as rows, with a hashed row key and a date key.
 
-    Narrow from end to end; the rows stay in the partitions Silver was read in.
+    Narrow from end to end; the rows stay in the partitions Silver was read in.  The
+    parts of the key before and after the phase are the same for all nine rows of a
+    leg, so they are put together before it expands.
     """
-    shown = [name for _, name in fixed.FACT_IDS]
-    return unpivot_phases(silver).select(
-        row_key(quoted(name) for name in fixed.FACT_KEY).alias("fact_row_key"),
+    column = {shown: name for name, shown in fixed.FACT_IDS}
+    phase_at = fixed.FACT_KEY.index("Phase")
+    parts = {"__head": fixed.FACT_KEY[:phase_at], "__tail": fixed.FACT_KEY[phase_at + 1 :]}
+    keyed = silver.withColumns({
+        part: key_text(F.col(column[name]) for name in names) for part, names in parts.items()
+    })
+    ids = [*fixed.FACT_IDS, *[(part, part) for part in parts]]
+    long = unpivot(keyed, ids, fixed.FACT_PHASES, "Phase", "Value")
+    return long.select(
+        row_key(F.col(name) for name in ("__head", "Phase", "__tail")).alias("fact_row_key"),
         quoted("ASN RECEIVE").cast("date").alias("date_key"),
-        *[quoted(name) for name in shown],
+        *[quoted(name) for name in column],
         "Phase",
         "Value",
     )

@@ -535,7 +535,7 @@ def _wide_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     SELECT "Phase", phase_alias, phase_order, phase_group, benchmark_days, is_assumption,
            count(*) AS rows, count(v) AS filled,
-           CAST(sum(CAST(round(v * 100) AS BIGINT)) AS VARCHAR) AS total_hundredths,
+           CAST(sum(CAST(floor(v * 100 + 0.5) AS BIGINT)) AS VARCHAR) AS total_hundredths,
            CAST(sum(ascii(md5(
                CAST(l_shipdate AS DATE) || '|' || l_orderkey || '|' || l_linenumber || '|'
                || ifnull(NULLIF(o_orderstatus, 'P'), '<NULL>') || '|' || "Phase" || '|'
@@ -547,7 +547,7 @@ def dim_phase(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: join, keep latest, unpivot, row key, and totals per phase in
     business order, with the phase master read from CSV."""
     legs = keep_latest(_wide_legs(spark, sf_dir), fixed.LEG_KEY, INSERT_TS, SOURCE_FILE)
-    hundredths = F.round(F.col("Value") * 100).cast("bigint")
+    hundredths = F.floor(F.col("Value") * 100 + 0.5)
     per_phase = (
         build_fact(legs)
         .groupBy("Phase")
