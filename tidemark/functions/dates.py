@@ -6,18 +6,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Year first, with an optional time of day; only the date part is captured.
-YEAR_FIRST = (
-    r"^(\d{4}([-/ ])\d{1,2}\2\d{1,2})"
-    r"(?:[ T]\d{1,2}:[0-5]?\d(?::[0-5]?\d(?:\.\d+)?)?)?$"
-)
+TIME = r"(?:[ T]\d{1,2}:[0-5]?\d(?::[0-5]?\d(?:\.\d+)?)?)?"
 
-# Month first, and the same date with the year first.  A two-digit year below 69 is in
+# The usual form: year first with dashes.  Only the date part is captured.
+DASHED = rf"^\s*(\d{{4}}-\d{{1,2}}-\d{{1,2}}){TIME}\s*$"
+
+# All other forms, and the dashed date each stands for.  A two-digit year below 69 is in
 # this century.
-MONTH_FIRST = [
-    (r"^(\d{1,2})([-/])(\d{1,2})\2(\d{4})$", "$4-$1-$3"),
-    (r"^(\d{1,2})/(\d{1,2})/([0-5]\d|6[0-8])$", "20$3-$1-$2"),
-    (r"^(\d{1,2})/(\d{1,2})/(69|[7-9]\d)$", "19$3-$1-$2"),
+OTHER_FORMS = [
+    (rf"^\s*(\d{{4}})([/ ])(\d{{1,2}})\2(\d{{1,2}}){TIME}\s*$", "$1-$3-$4"),
+    (r"^\s*(\d{1,2})([-/])(\d{1,2})\2(\d{4})\s*$", "$4-$1-$3"),
+    (r"^\s*(\d{1,2})/(\d{1,2})/([0-5]\d|6[0-8])\s*$", "20$3-$1-$2"),
+    (r"^\s*(\d{1,2})/(\d{1,2})/(69|[7-9]\d)\s*$", "19$3-$1-$2"),
 ]
 
 
@@ -25,17 +25,15 @@ def parse_date_text(text: Column) -> Column:
     """Date of a text in any accepted form, NULL for everything else.
 
     Each pattern is anchored, so a bare year, a serial number or trailing junk is
-    not a date.  Year-first texts, the usual case, cost one match; the calendar check
-    is Spark's own date cast.
+    not a date.  The usual form costs one match and Spark's own date cast.
     """
-    value = F.btrim(text, F.lit(" \t\r\n"))
-    year_first = F.translate(F.regexp_extract(value, YEAR_FIRST, 1), "/ ", "--")
-    month_first = F.lit(None).cast("string")
-    for pattern, rewritten in reversed(MONTH_FIRST):
-        month_first = F.when(
-            value.rlike(pattern), F.regexp_replace(value, pattern, rewritten)
-        ).otherwise(month_first)
-    return F.coalesce(year_first.try_cast("date"), month_first.try_cast("date"))
+    other = F.lit(None).cast("string")
+    for pattern, dashed in reversed(OTHER_FORMS):
+        rewritten = F.regexp_replace(text, pattern, dashed)
+        other = F.when(text.rlike(pattern), rewritten).otherwise(other)
+    return F.coalesce(
+        F.regexp_extract(text, DASHED, 1).try_cast("date"), other.try_cast("date")
+    )
 
 
 def parse_date(column: Column, data_type: T.DataType) -> Column:
