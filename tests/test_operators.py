@@ -130,7 +130,7 @@ def test_salted_join_equals_broadcast_join(spark, salts):
     hot = joins.hot_keys(left, [["c", "k"]], share=0.1)[0]
     hash7 = spark.range(1).select(F.xxhash64(F.lit(1), F.lit(7).cast("bigint"))).first()[0]
     assert hash7 in hot and len(hot) <= 10
-    salted = joins.salted_left_join(left, lookup, hot, salts)
+    salted = joins.salted_left_joins(left, [lookup], hot, salts)
     plain = joins.left_lookups(left, [lookup])
     assert salted.columns == plain.columns == ["c", "k", "v", "name"]
     assert salted.count() == plain.count() > left.count()
@@ -152,6 +152,26 @@ def test_several_lookups_either_way(spark):
     assert mixed.select(broadcast.columns).exceptAll(broadcast).isEmpty()
 
 
+def test_lookups_on_the_same_keys_share_a_shuffle(spark):
+    left = skewed(spark)
+    names = fan_out(spark)
+    more = names.select("rc", "rk", F.upper("name").alias("code"))
+    lookups = [
+        joins.Lookup(names, (("c", "rc"), ("k", "rk"))),
+        joins.Lookup(more, (("c", "rc"), ("k", "rk"))),
+    ]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = joins.left_lookups(left, lookups, broadcast_bytes=-1)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 3
+        plain = joins.left_lookups(left, lookups)
+        assert joined.exceptAll(plain).isEmpty() and plain.exceptAll(joined).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_a_hot_key_is_spread(spark):
     left = skewed(spark)
     lookup = joins.Lookup(fan_out(spark), (("c", "rc"), ("k", "rk")))
@@ -161,7 +181,7 @@ def test_a_hot_key_is_spread(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = joins.salted_left_join(left, lookup, hot, 32)
+        joined = joins.salted_left_joins(left, [lookup], hot, 32)
         sizes = joined.groupBy(F.spark_partition_id()).count()
         assert sizes.agg(F.max("count") / F.sum("count")).first()[0] < 0.35
     finally:

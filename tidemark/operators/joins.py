@@ -74,17 +74,17 @@ def hot_keys(
     return [[h for h in hashes if h is not None] for hashes in found]
 
 
-def salted_left_join(
-    left: DataFrame, lookup: Lookup, hot: Sequence[int], salts: int | None = None
+def salted_left_joins(
+    left: DataFrame, lookups: Sequence[Lookup], hot: Sequence[int], salts: int | None = None
 ) -> DataFrame:
-    """Shuffle join that splits hot left keys over ``salts`` tasks.
+    """Shuffle joins on one set of left keys that split hot keys over ``salts`` tasks.
 
     Hot rows take a salt from their contents and their map partition, which gives
     every retry of a task the same salts; rows with a NULL key, which cannot match,
     are spread the same way.  The lookup rows of hot keys are repeated once per salt.
+    The left side is shuffled once for all the lookups.
     """
-    left_keys = [l for l, _ in lookup.on]
-    right_keys = [r for _, r in lookup.on]
+    left_keys = [l for l, _ in lookups[0].on]
     if salts is None:
         salts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -92,16 +92,19 @@ def salted_left_join(
     last = F.lit(salts - 1).cast("bigint")
     spread = F.xxhash64(*[f"`{c}`" for c in left.columns]) + F.spark_partition_id()
     is_hot = ~_known(left_keys) | F.xxhash64(*left_keys).isin(*hot)
-    salted = left.withColumn(
+    joined = left.withColumn(
         "__left_salt", F.when(is_hot, F.pmod(spread, last + 1)).otherwise(zero)
     )
-    copies = F.when(F.xxhash64(*right_keys).isin(*hot), F.sequence(zero, last))
-    right = lookup.table.dropna(subset=right_keys).withColumn(
-        "__right_salt", F.explode(F.coalesce(copies, F.array(zero)))
-    )
-    on = [*lookup.on, ("__left_salt", "__right_salt")]
-    condition = reduce(Column.__and__, [F.col(l) == F.col(r) for l, r in on])
-    return salted.join(right, condition, "left").drop(*right_keys, "__left_salt", "__right_salt")
+    for lookup in lookups:
+        right_keys = [r for _, r in lookup.on]
+        copies = F.when(F.xxhash64(*right_keys).isin(*hot), F.sequence(zero, last))
+        right = lookup.table.dropna(subset=right_keys).withColumn(
+            "__right_salt", F.explode(F.coalesce(copies, F.array(zero)))
+        )
+        on = [*lookup.on, ("__left_salt", "__right_salt")]
+        condition = reduce(Column.__and__, [F.col(l) == F.col(r) for l, r in on])
+        joined = joined.join(right, condition, "left").drop(*right_keys, "__right_salt")
+    return joined.drop("__left_salt")
 
 
 def left_lookups(
@@ -110,15 +113,19 @@ def left_lookups(
     """Left joins with several lookups; a lookup that repeats a key fans rows out.
 
     Shuffle joins come first and broadcast joins last, so the columns that small
-    lookups add are not carried through a shuffle.  All keys are columns of ``left``.
+    lookups add are not carried through a shuffle.  Large lookups on the same left keys
+    share one.  All keys are columns of ``left``.
     """
     sizes = measured_bytes([lookup.table for lookup in lookups])
     small = [lookup for lookup, size in zip(lookups, sizes) if size <= broadcast_bytes]
-    large = [lookup for lookup, size in zip(lookups, sizes) if size > broadcast_bytes]
+    large: dict[tuple[str, ...], list[Lookup]] = {}
+    for lookup, size in zip(lookups, sizes):
+        if size > broadcast_bytes:
+            large.setdefault(tuple(l for l, _ in lookup.on), []).append(lookup)
     if large:
-        hot = hot_keys(left, [[l for l, _ in lookup.on] for lookup in large])
-        for lookup, hashes in zip(large, hot):
-            left = salted_left_join(left, lookup, hashes)
+        hot = hot_keys(left, list(large))
+        for same_keys, hashes in zip(large.values(), hot):
+            left = salted_left_joins(left, same_keys, hashes)
     for lookup in small:
         condition = reduce(Column.__and__, [F.col(l) == F.col(r) for l, r in lookup.on])
         left = left.join(F.broadcast(lookup.table), condition, "left")
