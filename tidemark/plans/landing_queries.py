@@ -20,7 +20,7 @@ from tidemark.operators.landing import (
     stamp,
 )
 from tidemark.operators.reshape import cells_to_table
-from tidemark.plans.inputs import FIRST_PERIOD, TABLES, read
+from tidemark.plans.inputs import TABLES, read
 from tidemark.plans.leadtime import LEG_TABLE
 from tidemark.plans.registry import query
 from tidemark.sources.erp import one_company
