@@ -181,11 +181,13 @@ def test_a_bad_workbook_is_reported_and_the_others_land(spark, folder, lake):
     with open(folder + "/in/Broken lead time.xlsx", "wb") as broken:
         broken.write(b"PK not really")
     xlsx.write(folder + "/in/Clash lead time.xlsx", {"T": [["B/L", "b l"], [1, 2]]})
+    xlsx.write(folder + "/in/Same lead time.xlsx", {"A b": [["x"], [1]], "a-B": [["x"], [2]]})
     lake.create_layers()
     with pytest.raises(LoadFailed) as failure:
         load_bronze(lake, [FetchTask(folder + "/in", "lead time")], TS)
     assert "Broken lead time.xlsx" in str(failure.value)
     assert "Clash lead time.xlsx / T" in str(failure.value)
+    assert "several tabs land as same_lead_time_a_b" in str(failure.value)
     assert len(lake.tables("bronze")) == 3
 
 

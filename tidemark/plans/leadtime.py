@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
@@ -311,6 +312,9 @@ def load_bronze(
             return None
 
         wanted = sorted((t for t in widths if t.file_name not in bad_files), key=lambda t: t.table)
+        uses = Counter(t.table for t in wanted)
+        failures += [f"several tabs land as {name}" for name, n in uses.items() if n > 1]
+        wanted = [t for t in wanted if uses[t.table] == 1]
         with ThreadPoolExecutor(parallel_tabs) as pool:
             failures += [problem for problem in pool.map(land, wanted) if problem]
     if failures:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators import publish
@@ -45,11 +47,15 @@ class Lake:
 def work_folder(spark: SparkSession) -> str:
     """Folder for written intermediate tables, shared by all executors.
 
-    The cluster names it in ``spark.checkpoint.dir``.
+    The cluster names it in ``spark.checkpoint.dir``.  Where that is unset, a session
+    without a cluster gets a folder of its own; a cluster session is refused.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="tidemark-")
+        spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/") + "/tidemark"
 
 
