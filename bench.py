@@ -9,7 +9,6 @@ from __future__ import annotations
 import json
 import os
 import statistics
-import tempfile
 import time
 
 from tidemark.plans.queries import QUERIES
@@ -35,8 +34,6 @@ def main() -> None:
         "bench", master=f"local[{cores}]", partitions=cores, spark__driver__memory="16g"
     )
     spark.sparkContext.setLogLevel("OFF")
-    if not spark.conf.get("spark.checkpoint.dir", ""):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
 
     def run(name: str) -> float:
         start = time.perf_counter()

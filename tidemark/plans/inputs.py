@@ -109,7 +109,10 @@ def _leg_columns() -> dict[str, Column]:
         "min_xft": F.col("l_quantity"),
         "max_xft": F.col("l_extendedprice"),
         "avg_xfty_to_received": F.col("l_quantity") + 3,
-        "_bronze_insert_ts": (F.col("l_shipdate") + F.expr("interval 12 hours")).cast("timestamp"),
+        # Noon UTC of the ship date, whatever the session's time zone.
+        "_bronze_insert_ts": F.timestamp_seconds(
+            F.unix_date(F.col("l_shipdate").cast("date")).cast("bigint") * 86400 + 43200
+        ),
         "_source_file_name": F.concat(F.lit("lead time "), flag, F.lit(".xlsx")),
     }
 

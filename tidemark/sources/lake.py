@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,6 +45,11 @@ class Lake:
         return [name.lower() for name in self.read(layer, table).columns]
 
 
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="tidemark-")
+
+
 def work_folder(spark: SparkSession) -> str:
     """Folder for written intermediate tables, shared by all executors.
 
@@ -54,8 +60,7 @@ def work_folder(spark: SparkSession) -> str:
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = _own_folder()
     return folder.rstrip("/") + "/tidemark"
 
 
