@@ -2,6 +2,7 @@
 
 from tidemark.llm import (  # noqa: F401
     exact_dedup,
+    quality,
     simhash,
 )
 from tidemark.llm.common import ORACLE, QUERIES
