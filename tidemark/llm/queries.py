@@ -2,6 +2,8 @@
 
 from tidemark.llm import (  # noqa: F401
     exact_dedup,
+    mixing,
+    pieces,
     quality,
     simhash,
 )
