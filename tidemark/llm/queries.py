@@ -6,6 +6,7 @@ from tidemark.llm import (  # noqa: F401
     pieces,
     quality,
     simhash,
+    url_rules,
 )
 from tidemark.llm.common import ORACLE, QUERIES
 
