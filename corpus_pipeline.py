@@ -1,4 +1,10 @@
-"""From raw documents to deduplicated ones, stage by stage."""
+"""From raw documents to token ids: quality, exact and near duplicates, mixing, encoding.
+
+Every stage works on all rows its predecessor kept and, but for the last, returns the
+columns of ``documents``.  What a stage defines for nulls, empty texts, ties and repeated
+rows is stated by its operator.  :func:`run` writes each stage's rows to the shared folder
+before the next one reads them.
+"""
 
 from __future__ import annotations
 
@@ -6,13 +12,46 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import read, written
 from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.mixing import mixed
+from tidemark.llm.pieces import encode
+from tidemark.llm.quality import quality_filter
 from tidemark.llm.simhash import simhash_dedup
 
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier accepts."""
+    return quality_filter(docs, read(spark, sf_dir, "labels"))
+
+
+def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of equal texts."""
+    return exact_dedup(docs)
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of linked fingerprints."""
+    return simhash_dedup(docs, shingle=3, radius=2)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    return mixed(docs)
+
+
+def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of the pieces of every text."""
+    return encode(docs, keep=("doc_id", "lang", "source"))
+
+
 STAGES = [
-    ("exact_dedup", lambda spark, docs, sf_dir: exact_dedup(docs)),
-    ("simhash_dedup", lambda spark, docs, sf_dir: simhash_dedup(docs)),
+    ("quality_classifier", quality_stage),
+    ("exact_dedup", exact_stage),
+    ("simhash_near_dedup", near_stage),
+    ("mixing", mixing_stage),
+    ("sentencepiece", encoding_stage),
 ]
 
+# A trained classifier and tokenizer are in it, which SQL cannot express.
 ORACLE_SQL = None
 
 

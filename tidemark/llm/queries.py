@@ -7,6 +7,7 @@ from tidemark.llm import (  # noqa: F401
     quality,
     simhash,
     url_rules,
+    warc,
 )
 from tidemark.llm.common import ORACLE, QUERIES
 
