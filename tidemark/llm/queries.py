@@ -3,6 +3,7 @@
 from tidemark.llm import (  # noqa: F401
     exact_dedup,
     mixing,
+    neighbours,
     pieces,
     quality,
     simhash,
