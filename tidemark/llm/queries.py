@@ -2,6 +2,7 @@
 
 from tidemark.llm import (  # noqa: F401
     exact_dedup,
+    language,
     mixing,
     neighbours,
     pieces,
