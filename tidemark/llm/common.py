@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,3 +96,13 @@ def keep_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
         .dropDuplicates(["_row_key"])
         .select(*docs.columns)
     )
+
+
+def shingle_hashes(words: list[bytes], size: int, seed: int = 42) -> np.ndarray | None:
+    """XXH64 of every ``size`` words joined by spaces; None if there are fewer words."""
+    if len(words) < size:
+        return None
+    joined = b" ".join(words)
+    ends = list(accumulate(len(word) + 1 for word in words))
+    one = xxhash.xxh64_intdigest
+    return np.array([one(joined[a : z - 1], seed) for a, z in zip([0, *ends], ends[size - 1 :])], dtype="<u8")

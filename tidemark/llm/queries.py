@@ -5,6 +5,7 @@ from tidemark.llm import (  # noqa: F401
     language,
     mixing,
     neighbours,
+    passages,
     pieces,
     quality,
     simhash,

@@ -17,15 +17,13 @@ read; an empty table gives no rows.
 from __future__ import annotations
 
 import math
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import keep_rows, map_columns, query, read, row_key, utf8, written
+from tidemark.llm.common import keep_rows, map_columns, query, read, row_key, shingle_hashes, utf8, written
 from tidemark.llm.components import components
 
 SEED, BITS = 42, 64
@@ -40,21 +38,12 @@ def fingerprint(text: bytes, shingle: int) -> int:
     words = text.lower().split()
     if not words:
         return 0
-    joined = b" ".join(words)
-    ends = list(accumulate(len(word) + 1 for word in words))
-    starts = [0, *ends[:-1]]
-    last = ends[shingle - 1 :] or ends[-1:]
-    one = xxhash.xxh64_intdigest
+    hashes = shingle_hashes(words, min(shingle, len(words)), SEED)
     counts = np.zeros(BITS, dtype=np.int64)
-    step = 1 << 16
-    for i in range(0, len(last), step):
-        hashes = np.array(
-            [one(joined[a : z - 1], SEED) for a, z in zip(starts[i : i + step], last[i : i + step])],
-            dtype="<u8",
-        )
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        counts += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * counts > len(last), bitorder="little").view("<u8")[0])
+    for i in range(0, len(hashes), 1 << 16):
+        rows = hashes[i : i + (1 << 16)].view(np.uint8).reshape(-1, 8)
+        counts += np.unpackbits(rows, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
