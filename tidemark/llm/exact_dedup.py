@@ -130,6 +130,8 @@ def duplicates(docs: DataFrame, digest_bytes: int = 16) -> DataFrame:
     groups = rows.groupBy("recipe").agg(
         F.max(F.struct("doc_id", "row_key")).alias("keep"), F.sum("copies").alias("group_size")
     )
+    # Written, so that the join below can split the partition of a large group.
+    groups = written(groups)
     stays = F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("row_key") == F.col("keep.row_key"))
     return (
         rows.join(groups, "recipe")
