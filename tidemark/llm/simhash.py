@@ -27,7 +27,7 @@ from tidemark.llm.common import keep_rows, map_columns, query, read, row_key, sh
 from tidemark.llm.components import components
 
 SEED, BITS = 42, 64
-SHARD = 8192  # distinct fingerprints a shard is planned for
+SHARD = 2048  # distinct fingerprints a shard is planned for
 SAMPLE_PER_SHARD, SAMPLE_MOST = 64, 1 << 18  # the sample that the tree of shards is fitted on
 LEAF = 512
 DENSE = 8192  # a larger leaf that no vantage parts is linked through the neighbours of its points
@@ -189,7 +189,8 @@ def links(distinct: DataFrame, radius: int = 2, shard: int = SHARD) -> DataFrame
         })
 
     dealt = map_columns(distinct, deal, "shard long, fingerprint long, home boolean", F.col("fingerprint"))
-    return dealt.groupBy("shard").applyInArrow(connect, "a long, b long")
+    # Comparing costs far more than the few bytes of a shard let adaptive execution expect.
+    return dealt.repartition(shards, "shard").groupBy("shard").applyInArrow(connect, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
