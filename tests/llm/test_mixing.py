@@ -1,0 +1,104 @@
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from tables import awkward, documents, prose
+
+from tidemark.llm import mixing as op
+
+
+def shared_out(sizes, weights):
+    """Targets by sharing again and again what is above twice a size."""
+    target, rest, open_ = [0.0] * len(sizes), 1.5 * sum(sizes), [s > 0 for s in sizes]
+    while rest > 1e-9 and any(open_):
+        total = sum(w for w, o in zip(weights, open_) if o)
+        given = rest
+        rest = 0.0
+        for i, w in enumerate(weights):
+            if open_[i]:
+                target[i] += given * w / total
+                if target[i] >= 2 * sizes[i]:
+                    rest += target[i] - 2 * sizes[i]
+                    target[i], open_[i] = 2.0 * sizes[i], False
+    return target
+
+
+def size(text):
+    return len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+
+
+def corpus():
+    rows = awkward()
+    for i in range(300):
+        source = None if i % 50 == 0 else f"s{i % 7}" if i % 3 else "hot"
+        rows.append((1000 + i, prose(i, i % 90), "en", source))
+    return rows
+
+
+@pytest.mark.parametrize("block", [8, 1024])
+def test_targets_and_taken_words(spark, block):
+    rows = corpus()
+    found = op.mix(documents(spark, rows, extra=True), block=block).collect()
+    sizes = defaultdict(int)
+    sources = [(r[3] if len(r) > 3 else "s") for r in rows]
+    for row, source in zip(rows, sources):
+        sizes[source] += size(row[1])
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    want = dict(zip(order, shared_out([sizes[s] for s in order], [(3, 1, 2)[i % 3] for i in range(len(order))])))
+    assert Counter((r.doc_id, r.size) for r in found) == Counter((r[0], size(r[1])) for r in rows)
+    source_of = defaultdict(set)
+    for row, source in zip(rows, sources):
+        source_of[(row[0], size(row[1]))].add(source)
+    taken = defaultdict(int)
+    for r in found:
+        assert 0 <= r.taken <= 2 * r.size
+        fits = [s for s in source_of[(r.doc_id, r.size)] if abs(want[s] - r.target) < 1e-6]
+        assert fits and r.source_size in {sizes[s] for s in fits}
+        taken[round(r.target, 6)] += r.taken
+    for target, words in taken.items():
+        same = [s for s in order if round(want[s], 6) == target]
+        assert abs(words - sum(want[s] for s in same)) <= len(same)
+    again = op.mix(documents(spark, rows[::-1], partitions=5), block=block).collect()
+    assert Counter(map(tuple, again)) == Counter(map(tuple, found))
+
+
+def test_slots_follow_the_needs_with_low_discrepancy(spark):
+    needed = np.array([500, 0, 3, 1200, 1, 296])
+    slots = op.schedule(spark, needed, chunk=128).collect()
+    got = defaultdict(list)
+    for rank, slot in slots:
+        got[rank].append(slot)
+    assert {r: sorted(s) for r, s in got.items()} == {i: list(range(n)) for i, n in enumerate(needed) if n}
+    points = np.arange(2000, dtype=np.uint64) * op.GOLDEN
+    counts = np.searchsorted((np.cumsum(needed)[:-1].astype(float) / 2000 * 2.0**64), points.astype(float), side="right")
+    assert np.abs(np.bincount(counts, minlength=6) - needed).max() <= 6
+
+
+def test_water_fill_matches_sharing_again():
+    r = np.random.default_rng(1)
+    for _ in range(200):
+        sizes = r.integers(0, 50, r.integers(1, 9))
+        weights = np.resize([3.0, 1.0, 2.0], len(sizes))
+        assert np.allclose(op.water_fill(sizes, weights), shared_out(sizes.tolist(), weights.tolist()))
+
+
+def test_mixed_documents_hold_the_taken_words(spark):
+    docs = documents(spark, corpus(), extra=True)
+    out = op.mixed(docs)
+    assert out.columns == docs.columns
+    rows = out.collect()
+    want = sum(r.taken for r in op.mix(docs).collect())
+    assert sum(size(r.text) for r in rows) == want
+    texts = {r[1] for r in corpus()}
+    whole = [r for r in rows if r.text in texts]
+    assert len(whole) >= len(rows) - len({r.source for r in rows})
+    assert all(any(t and t.startswith(r.text) for t in texts) for r in rows)
+    assert all(r.n_chars == len(r.text) for r in rows)
+
+
+def test_nothing_to_mix(spark):
+    assert op.mix(documents(spark, [])).count() == 0
+    assert op.mixed(documents(spark, [])).count() == 0
+    empty = op.mix(documents(spark, [(1, None), (2, " ")])).collect()
+    assert sorted((r.doc_id, r.size, r.source_size, r.target, r.taken) for r in empty) == [(1, 0, 0, 0.0, 0), (2, 0, 0, 0.0, 0)]

@@ -54,20 +54,33 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+ARROW = {
+    "boolean": pa.bool_(), "int": pa.int32(), "long": pa.int64(), "double": pa.float64(),
+    "string": pa.string(), "binary": pa.binary(),
+    "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64()), "array<double>": pa.list_(pa.float64()),
+}
+
+
+def as_arrow(values, kind: pa.DataType) -> pa.Array:
+    if isinstance(values, pa.Array):
+        return values if values.type == kind else values.cast(kind)
+    return pa.array(values, type=kind)
+
+
 def map_columns(
     df: DataFrame, function: Callable[..., Iterable], schema: str, *inputs: Column
 ) -> DataFrame:
     """``function`` gets one Arrow array per input column, batch by batch, and yields lists
-    of output columns in the order of ``schema``."""
+    of output columns in the order of ``schema``, whose types are those of ARROW."""
     narrow = df.select(*(column.alias(f"c{i}") for i, column in enumerate(inputs)))
-    names = [part.split()[0] for part in schema.split(", ")]
+    names, kinds = zip(*(part.split() for part in schema.split(", ")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 for columns in function(*batch.columns):
                     yield pa.RecordBatch.from_arrays(
-                        [c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names
+                        [as_arrow(c, ARROW[kind]) for c, kind in zip(columns, kinds)], list(names)
                     )
 
     return narrow.mapInArrow(run, schema)
@@ -87,13 +100,22 @@ def row_key() -> Column:
     )
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores put before it until ``df`` has no such column."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def keep_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose :func:`row_key` is in ``keys`` (one column ``row_key``), one
     row per key.  Texts move once, to the partition of their key."""
+    key = fresh(docs, "row_key")
     return (
-        docs.withColumn("_row_key", row_key())
-        .join(keys.select(F.col("row_key").alias("_row_key")), "_row_key", "left_semi")
-        .dropDuplicates(["_row_key"])
+        docs.withColumn(key, row_key())
+        .join(keys.select(F.col("row_key").alias(key)), key, "left_semi")
+        .dropDuplicates([key])
         .select(*docs.columns)
     )
 

@@ -113,7 +113,7 @@ def recipes(docs: DataFrame, digest_bytes: int = 16) -> DataFrame:
         F.monotonically_increasing_id(), *inputs,
     )
     named = parts.join(told_apart, ["digest", "chunk"], "left").withColumn(
-        "id", F.concat("digest", F.coalesce("variant", F.lit(0)).cast("int").cast("binary"))
+        "id", F.concat("digest", F.lpad(F.coalesce("variant", F.lit(0)).cast("string"), 8, "0").cast("binary"))
     )
     ordered = F.transform(F.sort_array(F.collect_list(F.struct("place", "id"))), lambda x: x["id"])
     whole = named.groupBy("row", "doc_id", "row_key", "text_sha256").agg(

@@ -58,7 +58,7 @@ def page_text(html: bytes) -> bytes:
 def train(docs: DataFrame, per_language: int = 400) -> tuple[list[str], np.ndarray]:
     """The languages and, per language, the log probability of each trigram."""
     chosen = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")))
-    labelled = docs.where("lang IS NOT NULL AND lang <> '' AND doc_id IS NOT NULL")
+    labelled = docs.select("doc_id", "lang", "text").where("lang IS NOT NULL AND lang <> '' AND doc_id IS NOT NULL")
     # The ids first, so that only chosen texts are counted: per_language rows of each language.
     ids = labelled.select("doc_id", "lang").withColumn(
         "nth", F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, map_columns, query, read, row_key, written
+from tidemark.llm.common import WORD, fresh, map_columns, query, read, row_key, written
 
 WEIGHTS = (3, 1, 2)
 SHARE, MOST = 1.5, 2  # words of the mix per word of the input; times a word may be taken
@@ -181,24 +181,25 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, block: int = BLOCK)
 def mixed(docs: DataFrame) -> DataFrame:
     """The documents of the mix, as often as it takes them; where it takes a part of one, a row
     with its first words."""
-    taken = mix(docs).where("taken > 0").select(
-        F.col("row_key").alias("_row_key"), F.col("size").alias("_size"), F.col("taken").alias("_taken")
-    )
+    key, size, taken, words = (fresh(docs, name) for name in ("row_key", "size", "taken", "words"))
     # Rows equal in id and text are interchangeable, so their counts may be added up.
-    taken = taken.groupBy("_row_key", "_size").agg(F.sum("_taken").alias("_taken"))
-    rest = F.col("_taken") % F.col("_size")
-    cut = F.array_join(
-        F.slice(F.split("text", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])"), F.lit(1), F.col("_words")), ""
+    counts = mix(docs).where("taken > 0").groupBy(F.col("row_key").alias(key), F.col("size").alias(size)).agg(
+        F.sum("taken").alias(taken)
     )
+    whole, rest = F.floor(F.col(taken) / F.col(size)).cast("int"), (F.col(taken) % F.col(size)).cast("int")
+    pieces = F.split("text", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
+    cut = F.array_join(F.slice(pieces, F.lit(1), F.col(words)), "")
     copies = F.concat(
-        F.array_repeat(F.lit(None).cast("int"), F.floor(F.col("_taken") / F.col("_size")).cast("int")),
-        F.when(rest > 0, F.array(rest.cast("int"))).otherwise(F.array().cast("array<int>")),
+        F.array_repeat(F.lit(None).cast("int"), whole),
+        F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<int>")),
+    )
+    rows = (
+        docs.withColumn(key, row_key()).dropDuplicates([key]).join(counts, key)
+        .withColumn(words, F.explode(copies))
     )
-    whole = docs.withColumn("_row_key", row_key()).dropDuplicates(["_row_key"])
-    rows = whole.join(taken, "_row_key").withColumn("_words", F.explode(copies))
-    changed = {"text": F.when(F.col("_words").isNull(), F.col("text")).otherwise(cut)}
+    changed = {"text": F.when(F.col(words).isNull(), F.col("text")).otherwise(cut)}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.col("_words").isNull(), F.col("n_chars")).otherwise(
+        changed["n_chars"] = F.when(F.col(words).isNull(), F.col("n_chars")).otherwise(
             F.length(cut).cast(docs.schema["n_chars"].dataType)
         )
     return rows.withColumns(changed).select(*docs.columns)

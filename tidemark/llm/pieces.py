@@ -242,7 +242,8 @@ def encode(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), model: str = MO
                 [b == text.encode() for b, text in zip(back, texts)],
             ]
 
-    kept = ", ".join(f"k{i} {docs.schema[name].dataType.simpleString()}" for i, name in enumerate(keep))
+    kinds = [docs.schema[name].dataType.simpleString().replace("bigint", "long") for name in keep]
+    kept = ", ".join(f"k{i} {kind}" for i, kind in enumerate(kinds))
     found = map_columns(
         docs, run, f"{kept}, ids array<int>, n_ids long, decoded_sha256 string, lossless boolean",
         *(F.col(name) for name in keep), F.col("text"),

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import map_columns, query, read, utf8
+from tidemark.llm.common import fresh, map_columns, query, read, utf8
 
 GRAM_BITS = 18
 GRAMS, SHAPES, RUNS = 1 << GRAM_BITS, 1 << 16, 4
@@ -197,6 +197,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 4000) -> Model:
     ]
     chosen = chosen[0].union(chosen[1]).withColumnsRenamed({"doc_id": "_id", "quality": "_quality"})
     # At most 2 * per_class ids of 12 bytes.
+    docs = docs.select("doc_id", "text")
     texts = docs.join(F.broadcast(chosen), docs["doc_id"] == chosen["_id"]).select("_id", "_quality", "text")
 
     def listed(ids, quality, texts):
@@ -215,8 +216,8 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 4000) -> Model:
     return fit(lists, classes, share)
 
 
-def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with a column ``_score``."""
+def scored(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """``docs`` with one more column, ``name``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index("text")
 
@@ -225,15 +226,16 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             scores = [model.score(features(text)) for text in utf8(batch.column(place))]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(scores, type=pa.float64())], [*batch.schema.names, "_score"]
+                [*batch.columns, pa.array(scores, type=pa.float64())], [*batch.schema.names, name]
             )
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_score", T.DoubleType())]))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def quality_filter(docs: DataFrame, labels: DataFrame, accept: float = ACCEPT) -> DataFrame:
     """The documents whose score is at least ``accept``."""
-    return scored(docs, train(docs, labels)).where(F.col("_score") >= accept).select(*docs.columns)
+    score = fresh(docs, "score")
+    return scored(docs, train(docs, labels), score).where(F.col(score) >= accept).select(*docs.columns)
 
 
 @query("op1_quality")
@@ -243,6 +245,6 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
-        F.col("_score").alias("score"),
-        (F.col("_score") >= ACCEPT).cast("int").alias("predicted"),
+        "score",
+        (F.col("score") >= ACCEPT).cast("int").alias("predicted"),
     )

@@ -98,14 +98,15 @@ def enclosing(points: DataFrame, intervals: DataFrame, top_only: bool = False) -
 
 
 def judge(urls: DataFrame, rules: DataFrame, default: str = "allow") -> DataFrame:
-    """``urls`` (with a column url) with host, path, rule and verdict; ``rules`` has host, path
-    and verdict."""
+    """``urls`` (with a column url) with host, path, rule and verdict, which take the place of
+    columns of these names; ``rules`` has host, path and verdict."""
     rules = (
         rules.where("host IS NOT NULL AND host <> '' AND path IS NOT NULL")
         .select(lower_ascii(F.col("host")).alias("host"), "path", "verdict")
         .groupBy("host", "path")
         .agg(F.max("verdict").alias("verdict"))
     )
+    urls = urls.drop("host", "path", "rule", "verdict")
     parsed = urls.withColumns({"host": url_host(F.col("url")), "path": url_path(F.col("url"))})
     pairs = parsed.where("host <> ''").select("host", "path").distinct()
 
