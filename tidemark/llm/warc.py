@@ -31,6 +31,7 @@ from tidemark.sources.lake import work_folder
 
 MAGIC, END = "WARC/1.0\r\n", "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
+BUCKETS = 1 << 20  # of 16 bytes each, broadcast
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 
@@ -52,7 +53,12 @@ def records(pages: DataFrame, least_bytes: int = 0, date: str = "1970-01-01T00:0
         F.max("page_id").alias("response_id"), F.count("*").alias("n")
     )
     groups = written(groups.where("n > 1").drop("n"))
-    rows = rows.join(groups, "same", "left")
+    # Pages whose payload falls into no bucket of a repeated one stay where they are read.
+    bucket = lambda: F.pmod(F.xxhash64("same"), F.lit(BUCKETS))
+    buckets = groups.select(bucket().alias("bucket"), F.lit(True).alias("repeats")).distinct()
+    rows = rows.withColumn("bucket", bucket()).join(F.broadcast(buckets), "bucket", "left").drop("bucket")
+    alone = rows.where("repeats IS NULL").withColumn("response_id", F.lit(None).cast("long"))
+    rows = alone.unionByName(rows.where("repeats").join(groups, "same", "left"))
     revisit = F.col("response_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("response_id"))
     name = lambda column: F.concat(F.lit("<urn:page:"), F.coalesce(column.cast("string"), F.lit("none")), F.lit(">"))
     http = F.concat(
@@ -85,20 +91,27 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
     records(pages, least_bytes).write.option("lineSep", END).text(path)
 
 
-def candidates(spark: SparkSession, path: str) -> DataFrame:
-    """What stands after each magic line, up to the next, with its file and offset."""
-    pieces = spark.read.option("lineSep", MAGIC).text(path).select(
-        F.col("_metadata.file_path").alias("file"),
+def cuts(spark: SparkSession, path: str) -> DataFrame:
+    """What stands between magic lines: file (a hash of its path), the start of the split it
+    was read in, a number that orders the cuts of a split, and the text."""
+    return spark.read.option("lineSep", MAGIC).text(path).select(
+        F.xxhash64("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("nth"),
         "value",
-        F.octet_length("value").cast("long").alias("bytes"),
     )
+
+
+def candidates(spark: SparkSession, path: str) -> DataFrame:
+    """The headers of what stands after each magic line, up to the next, with its file and
+    offset, and the size and digest of its payload if the next magic line is beyond it."""
+    pieces = cuts(spark, path).withColumn("bytes", F.octet_length("value").cast("long"))
     sizes = pieces.groupBy("file", "block").agg(F.sum(F.col("bytes") + len(MAGIC)).alias("all"))
     before = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     begins = written(sizes.select("file", "block", F.coalesce(F.sum("all").over(before), F.lit(0)).alias("begin")))
     head = F.substring_index("value", END, 1)
     two = F.substring_index("value", END, 2)
+    said_bytes = F.regexp_extract(two, r"(?im)^Content-Length: *(\d+)[\s\S]*^Content-Length: *(\d+)", 2)
     field = lambda name: F.regexp_extract(head, rf"(?im)^{name}: *([^\r\n]*?) *\r?$", 1)
     body = F.octet_length(two) + len(END)
     length = F.expr("try_cast(length_text AS long)")
@@ -113,12 +126,15 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
         "file", "block", "nth", "bytes", "length", "block_begin",
         field("WARC-Type").alias("type"),
         field("WARC-Record-ID").alias("id"),
-        field("WARC-Refers-To").alias("refers"),
+        F.nullif(field("WARC-Refers-To"), F.lit("")).alias("refers"),
         F.regexp_replace(field("WARC-Payload-Digest"), "^sha1:", "").alias("said_digest"),
-        F.regexp_extract(two, r"(?im)^Content-Length: *(\d+)[\s\S]*^Content-Length: *(\d+)", 2).alias("said_bytes"),
         whole.alias("whole"),
-        F.when(whole, F.octet_length(payload).cast("long")).alias("payload_bytes"),
-        F.when(whole, base32_sha1(payload)).alias("payload_digest"),
+        # A revisit's own payload is left out; its HTTP headers tell the size.
+        F.when(
+            field("WARC-Type") == "revisit",
+            said_bytes.try_cast("long"),
+        ).when(whole, F.octet_length(payload).cast("long")).alias("payload_bytes"),
+        F.when(whole & (field("WARC-Type") != "revisit"), base32_sha1(payload)).alias("payload_digest"),
     )
     within = W.partitionBy("file", "block").orderBy("nth").rowsBetween(W.unboundedPreceding, 0)
     placed = parsed.withColumn("sum", F.sum(F.col("bytes") + len(MAGIC)).over(within)).join(begins, ["file", "block"])
@@ -156,16 +172,13 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     found = candidates(spark, path)
     kept = found.join(reachable(found), ["file", "offset"])
     simple = kept.where("whole")
-    split = written(kept.where("NOT whole").select(
-        "file", "offset", "next", "id", "type", "refers", "said_digest", "said_bytes",
-    ))
-    columns = ["id", "type", "refers", "said_digest", "said_bytes", "payload_bytes", "payload_digest"]
+    split = written(kept.where("NOT whole").select("file", "offset", "next", "id", "type", "refers", "said_digest"))
+    columns = ["id", "type", "refers", "said_digest", "payload_bytes", "payload_digest"]
     if not split.isEmpty():
         simple = simple.select(columns).union(rejoined(spark, path, found, split).select(columns))
     revisit = F.col("type") == "revisit"
     return simple.select(
-        "id", "type", "refers",
-        F.when(revisit, F.col("said_bytes").cast("long")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+        "id", "type", "refers", "payload_bytes",
         F.when(revisit, F.col("said_digest")).otherwise(F.col("payload_digest")).alias("payload_digest"),
         (revisit | (F.col("said_digest") == F.col("payload_digest"))).alias("intact"),
     )
@@ -187,10 +200,7 @@ def rejoined(spark: SparkSession, path: str, found: DataFrame, split: DataFrame)
         .where("offset < until")
         .select("file", "block", "nth", "offset", "record")
     )
-    values = spark.read.option("lineSep", MAGIC).text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("nth"), "value",
-    )
+    values = cuts(spark, path)
     # The pieces of one record, in order, with the magic lines between them.
     whole = values.join(parts, ["file", "block", "nth"]).groupBy("file", "record").agg(
         F.array_join(
@@ -201,7 +211,7 @@ def rejoined(spark: SparkSession, path: str, found: DataFrame, split: DataFrame)
     body = F.octet_length(F.substring_index("value", END, 2)) + len(END)
     payload = F.expr(f"substring(cast(value AS binary), body + 1, next - offset - {len(MAGIC) + len(END)} - body)")
     return joined.withColumn("body", body).select(
-        split["file"], "offset", "id", "type", "refers", "said_digest", "said_bytes",
+        split["file"], "offset", "id", "type", "refers", "said_digest",
         F.octet_length(payload).cast("long").alias("payload_bytes"), base32_sha1(payload).alias("payload_digest"),
     )
 
