@@ -44,6 +44,15 @@ PARSED = {
     "20240105": None,
     "2024-01-05 junk": None,
     "2024-01-05 10:00:61": None,
+    "2024-01-05 0:5": DAY,
+    "2024-01-05 19:59:59": DAY,
+    "2024-01-05 24:00:00": None,
+    "2024-01-05 25:10:00": None,
+    "2024-01-05 99:59": None,
+    "2024/01/05 99:00": None,
+    "2024-01-05 10:60": None,
+    "2024-01-05T29:00:00": None,
+    "2024-01-05T10:00:00Z": None,
     "2024-01/05": None,
     "01-05-24": None,
     None: None,

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-TIME = r"(?:[ T]\d{1,2}:[0-5]?\d(?::[0-5]?\d(?:\.\d+)?)?)?"
+# Hours 0 to 23: the end of a day written as 24:00 is no time.
+TIME = r"(?:[ T](?:[01]?\d|2[0-3]):[0-5]?\d(?::[0-5]?\d(?:\.\d+)?)?)?"
 
 # The usual form: year first with dashes.  Only the date part is captured.
 DASHED = rf"^\s*(\d{{4}}-\d{{1,2}}-\d{{1,2}}){TIME}\s*$"

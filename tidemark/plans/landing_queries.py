@@ -160,13 +160,14 @@ def lineage_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files selected by keyword, each with the rows it holds."""
-    rows = reduce(
-        DataFrame.unionByName,
-        [read(spark, sf_dir, t).select(F.col("_metadata.file_name").alias("file_name")) for t in TABLES],
-    )
-    counts = rows.groupBy("file_name").agg(F.count("*").alias("row_count"))
     files = file_manifest(spark, sf_dir, "ER", "*.parquet").filter("file_size > 0")
-    return files.select("file_name").join(counts, "file_name", "left")
+    counts = [
+        read(spark, sf_dir, row.file_name.removesuffix(".parquet")).select(
+            F.lit(row.file_name).alias("file_name")
+        ).groupBy("file_name").agg(F.count("*").alias("row_count"))
+        for row in files.select("file_name").collect()
+    ]
+    return reduce(DataFrame.unionByName, counts)
 
 
 # Column lists of the driver's tables.

@@ -37,13 +37,13 @@ from tidemark.sources.lake import work_folder
 # What the drifted tables say, read from line items directly.
 LEGS = """
     sources(period, template, first_day, end_day) AS (
-        VALUES ('1995', 1, DATE '1900-01-01', DATE '1996-01-01'),
+        VALUES ('1995', 1, NULL, DATE '1996-01-01'),
                ('1996_Q1', 2, DATE '1996-01-01', DATE '1997-01-01'),
                ('1997_Q2', 3, DATE '1997-01-01', DATE '1998-01-01'),
                ('1998_Q4', 4, DATE '1998-01-01', DATE '1999-01-01'),
                ('1999_Q2', 5, DATE '1999-01-01', DATE '2000-01-01'),
                ('2000_Q3', 6, DATE '2000-01-01', DATE '2001-02-01'),
-               ('2001_Q1', 6, DATE '2001-01-01', DATE '2100-01-01')
+               ('2001_Q1', 6, DATE '2001-01-01', NULL)
     ),
     dated AS (
         SELECT *, CAST(l_shipdate AS DATE) AS ship,
@@ -53,10 +53,14 @@ LEGS = """
                     THEN CAST(l_shipdate AS DATE) - 3 END AS gate_in,
                CASE WHEN l_returnflag <> 'A' OR l_linestatus <> 'O'
                     THEN CAST(l_shipdate AS DATE) + 25 END AS p_u
-        FROM lineitem JOIN sources ON l_shipdate >= first_day AND l_shipdate < end_day
+        FROM lineitem JOIN sources
+          ON (l_shipdate >= first_day OR (first_day IS NULL AND l_shipdate IS NOT NULL)
+              OR (end_day IS NULL AND l_shipdate IS NULL))
+         AND (l_shipdate < end_day OR end_day IS NULL)
     ),
     legs AS (
-        SELECT CASE WHEN l_returnflag = 'A' THEN lower(l_linestatus) || ' '
+        SELECT CASE WHEN period = '2001_Q1' THEN l_linestatus || ' '
+                    WHEN l_returnflag = 'A' THEN lower(l_linestatus) || ' '
                     ELSE l_linestatus END AS wh,
                CAST(l_orderkey AS VARCHAR) AS asn,
                ' ' || l_linenumber AS folio,
@@ -200,10 +204,10 @@ def legacy_swap(spark: SparkSession, sf_dir: str) -> DataFrame:
     small, large = F.col("l_quantity"), F.col("l_extendedprice")
     ids = ["l_orderkey", "l_linenumber"]
     tables = {
-        "old": items.filter("l_linestatus = 'F'").select(
+        "old": items.filter(F.col("l_linestatus").eqNullSafe("F")).select(
             *ids, small.alias("max_xft"), large.alias("min_xft"), F.lit(0).alias("MIN_MAX_XFTY")
         ),
-        "new": items.filter("l_linestatus <> 'F'").select(
+        "new": items.filter(~F.col("l_linestatus").eqNullSafe("F")).select(
             *ids, small.alias("min_xft"), large.alias("max_xft"), F.lit(0).alias("max_min_xfty")
         ),
     }
@@ -217,20 +221,29 @@ def legacy_swap(spark: SparkSession, sf_dir: str) -> DataFrame:
     "date_cascade",
     """
     SELECT o_orderkey,
-           CASE WHEN o_orderpriority <> '1-URGENT' OR o_orderstatus <> 'P'
-                THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS from_text,
+           CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'P' THEN NULL
+                WHEN o_orderpriority = '2-HIGH' AND o_orderkey % 10 IN (3, 4, 5, 6) THEN NULL
+                ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS from_text,
            CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS from_timestamp,
            CAST(NULL AS VARCHAR) AS from_number
     FROM orders
     """,
 )
 def date_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order dates written in six ways, one of them no date, and read back."""
+    """Order dates written in several ways, some of them no date, and read back."""
     day = F.col("o_orderdate")
     priority, partial = F.col("o_orderpriority"), F.col("o_orderstatus") == "P"
+    impossible = F.element_at(
+        F.array(*map(F.lit, [" 25:10:00", " 10:61", " 24:00:00", "T99:59"])),
+        (F.col("o_orderkey") % 10 - 2).cast("int"),
+    )
     text = (
         F.when((priority == "1-URGENT") & partial, F.concat(F.year(day).cast("string"), F.lit("")))
         .when(priority == "1-URGENT", F.date_format(day, " yyyy-MM-dd "))
+        .when(
+            (priority == "2-HIGH") & (F.col("o_orderkey") % 10).isin(3, 4, 5, 6),
+            F.concat(F.date_format(day, "yyyy-MM-dd"), impossible),
+        )
         .when((priority == "2-HIGH") & partial, F.date_format(day, "yyyy/M/d"))
         .when(priority == "2-HIGH", F.date_format(day, "yyyy-MM-dd HH:mm:ss"))
         .when(priority == "3-MEDIUM", F.date_format(day, "MM/dd/yy"))
@@ -596,32 +609,32 @@ def report_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "report_duplicates",
     f"""
-    WITH {LEGS}
+    WITH {LEGS}, {KEPT}
     SELECT wh, asn, folio, b_l, container, CAST(etd AS VARCHAR) AS etd,
            count(*) AS duplicate_count
-    FROM legs GROUP BY ALL HAVING count(*) > 1
+    FROM silver GROUP BY ALL HAVING count(*) > 1
     ORDER BY duplicate_count DESC, wh NULLS LAST, asn NULLS LAST, folio NULLS LAST,
              b_l NULLS LAST, container NULLS LAST, etd NULLS LAST
     LIMIT 20
     """,
 )
 def report_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The twenty most repeated leg keys before rows are deduplicated."""
-    return quality.duplicate_report(_aligned(spark, sf_dir))
+    """The twenty most repeated leg keys of Silver: keys that are equal once normalized."""
+    return quality.duplicate_report(_silver(spark, sf_dir))
 
 
 @query(
     "report_nulls",
     f"""
-    WITH {LEGS}
+    WITH {LEGS}, {KEPT}
     SELECT _source_period, count(*) AS total_rows,
            {', '.join(f'count(*) FILTER (WHERE {c} IS NULL) AS null_{n}'
                       for c, n in NULL_COLUMNS.items())}
-    FROM legs GROUP BY _source_period ORDER BY _source_period
+    FROM silver GROUP BY _source_period ORDER BY _source_period
     """,
 )
 def report_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.null_report(_aligned(spark, sf_dir), PERIOD, NULL_COLUMNS)
+    return quality.null_report(_silver(spark, sf_dir), PERIOD, NULL_COLUMNS)
 
 
 @query(
