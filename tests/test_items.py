@@ -22,6 +22,7 @@ from tidemark.plans.items import (
     item_report,
     run_item_master,
 )
+from tidemark.operators import publish
 from tidemark.sources.erp import JdbcErp, ParquetErp, one_company, read_erp
 from tidemark.sources.lake import Lake
 
@@ -126,7 +127,7 @@ def test_whole_run(spark, erp, folder):
     assert types["pair_per_unit"] == "decimal(18,4)" and types["sales_price"] == "decimal(17,2)"
     assert silver.filter("brand_name IS NULL").isEmpty()
     assert silver.filter("sku = 'S1'").first().upc == "0012"
-    dimension = spark.read.parquet(folder + "/finance/" + GOLD)
+    dimension = publish.read_table(spark, folder + "/finance/" + GOLD)
     assert dimension.columns == [shown for _, shown in fixed.ITEM_COLUMNS]
     assert dimension.count() == 4
 
@@ -182,6 +183,14 @@ def test_jdbc_options():
         JdbcErp("jdbc:sqlserver://host", "<LOGIN>", "x").options()
 
 
+def test_every_table_is_read_in_parts_that_cover_it():
+    source = JdbcErp("jdbc:sqlserver://host", "reader", "secret", parts=3, splits={"MITSCH": ["a", "b"]})
+    assert source.conditions("MITSCH") == ["a", "b"]
+    assert source.conditions("MITMAS") == [
+        f"ABS(CAST(CHECKSUM(MMITNO) AS BIGINT)) % 3 = {i}" for i in range(3)
+    ]
+
+
 def test_company_filter_is_a_plain_equality(spark, folder):
     spark.range(10).select(F.col("id").cast("int").alias("CONO")).write.parquet(folder + "/t")
     rows = one_company(spark.read.parquet(folder + "/t"), "CONO", 3)

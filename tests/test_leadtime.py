@@ -19,6 +19,7 @@ from tidemark.plans.leadtime import (
     run_leadtime,
     silver_reports,
 )
+from tidemark.operators.reshape import clustered
 from tidemark.sources.files import NoMatchingFiles, file_manifest, read_phases, write_phases
 from tidemark.sources.lake import Lake
 from tidemark.sources.workbook import decode_workbook, sheet_headers
@@ -191,6 +192,63 @@ def test_a_bad_workbook_is_reported_and_the_others_land(spark, folder, lake):
     assert len(lake.tables("bronze")) == 3
 
 
+def test_one_name_from_two_folders_is_reported(spark, folder, lake):
+    for place in ("a", "b"):
+        os.mkdir(f"{folder}/{place}")
+        xlsx.write(f"{folder}/{place}/Lead Time X.xlsx", {"data": [["x"], [place]]})
+    xlsx.write(folder + "/b/Lead Time Y.xlsx", {"data": [["x"], [1]]})
+    lake.create_layers()
+    tasks = [FetchTask(folder + "/a", "lead"), FetchTask(folder + "/b", "lead"), FetchTask(folder + "/b", "time y")]
+    with pytest.raises(LoadFailed, match="several tabs land as lead_time_x_data"):
+        load_bronze(lake, tasks, TS)
+    assert lake.tables("bronze") == ["lead_time_y_data"]
+
+
+def test_a_failing_task_does_not_stop_the_others(spark, folder, lake):
+    os.mkdir(folder + "/bad")
+    with open(folder + "/bad/Broken lead time.xlsx", "wb") as broken:
+        broken.write(b"PK not really")
+    workbooks(folder + "/good")
+    lake.create_layers()
+    tasks = [FetchTask(f"{folder}/{place}", "lead time") for place in ("bad", "missing", "good")]
+    with pytest.raises(LoadFailed) as failure:
+        load_bronze(lake, [*tasks, FetchTask(folder + "/good", "invoices")], TS)
+    for part in ("Broken lead time.xlsx", "missing", "invoices"):
+        assert part in str(failure.value)
+    assert len(lake.tables("bronze")) == 3
+    shared = spark.conf.get("spark.checkpoint.dir") + "/tidemark"
+    assert not [name for name in os.listdir(shared) if name.startswith(f"{TS:%Y%m%dT}")]
+
+
+def test_silver_files_hold_disjoint_spans(spark, folder):
+    legs = spark.range(20_000).selectExpr("date_add(DATE '2024-01-01', int(pmod(hash(id), 300))) AS etd", "id")
+    hot = legs.union(spark.range(20_000).selectExpr("DATE '2024-06-01' AS etd", "-id AS id"))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        clustered(hot, "etd", "id").write.parquet(folder + "/s")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    files = spark.read.parquet(folder + "/s").groupBy("_metadata.file_name").agg(
+        F.min("etd").alias("low"), F.max("etd").alias("high"), F.count("*").alias("n")
+    ).orderBy("low", "high").collect()
+    assert len(files) > 4 and max(f.n for f in files) < 12_000
+    assert all(a.high <= b.low for a, b in zip(files, files[1:]))
+
+
+def test_schemas_are_fixed(spark, folder, lake, phases):
+    workbooks(folder + "/in")
+    run_leadtime(lake, [FetchTask(folder + "/in", "lead time")], phases, TS)
+    silver = dict(lake.read("silver", SILVER).dtypes)
+    dates = {"min_req_delivery_date", "max_req_delivery_date", "gate_in", "etd", "current_eta_port", "p_u", "asn_receive"}
+    assert {name for name, kind in silver.items() if kind == "date"} == dates
+    assert silver["_bronze_insert_ts"] == "timestamp" and silver["xfty_range"] == silver["asn_qty"] == "double"
+    fact = dict(lake.read("gold", "fact_leadtime").dtypes)
+    assert fact["fact_row_key"] == "string" and fact["date_key"] == "date" and fact["Value"] == "double"
+    calendar = dict(lake.read("gold", "dim_date").dtypes)
+    assert calendar["date_key"] == "date" and calendar["is_weekend"] == "boolean" and calendar["year"] == "int"
+
+
 def test_nothing_selected_is_an_error(folder, lake):
     workbooks(folder + "/in")
     with pytest.raises(NoMatchingFiles, match="invoices"):

@@ -128,8 +128,9 @@ def test_salted_join_equals_broadcast_join(spark, salts):
     left = skewed(spark)
     lookup = joins.Lookup(fan_out(spark), (("c", "rc"), ("k", "rk")))
     hot = joins.hot_keys(left, [["c", "k"]], share=0.1)[0]
+    rows = left.where("c = 1 AND k = 7").count() / left.count()
     hash7 = spark.range(1).select(F.xxhash64(F.lit(1), F.lit(7).cast("bigint"))).first()[0]
-    assert hash7 in hot and len(hot) <= 10
+    assert hot[hash7] == pytest.approx(rows, abs=0.02) and len(hot) <= 10
     salted = joins.salted_left_joins(left, [lookup], hot, salts)
     plain = joins.left_lookups(left, [lookup])
     assert salted.columns == plain.columns == ["c", "k", "v", "name"]
@@ -137,7 +138,7 @@ def test_salted_join_equals_broadcast_join(spark, salts):
     assert salted.exceptAll(plain).isEmpty() and plain.exceptAll(salted).isEmpty()
 
 
-def test_several_lookups_either_way(spark):
+def test_several_lookups_either_way(spark, folder):
     left = skewed(spark)
     names = fan_out(spark)
     codes = names.select(F.col("rk").alias("ck"), F.upper("name").alias("code"))
@@ -148,8 +149,13 @@ def test_several_lookups_either_way(spark):
     broadcast = joins.left_lookups(left, lookups)
     shuffled = joins.left_lookups(left, lookups, broadcast_bytes=-1)
     assert broadcast.exceptAll(shuffled).isEmpty() and shuffled.exceptAll(broadcast).isEmpty()
-    mixed = joins.left_lookups(left, lookups, joins.measured_bytes([codes])[0])
-    assert mixed.select(broadcast.columns).exceptAll(broadcast).isEmpty()
+    names.write.mode("overwrite").parquet(folder + "/names")
+    lookups[0] = joins.Lookup(spark.read.parquet(folder + "/names"), lookups[0].on)
+    bounds = [joins.size_bound(lookup.table) for lookup in lookups]
+    for bound in bounds:
+        mixed = joins.left_lookups(left, lookups, bound)
+        assert mixed.columns == broadcast.columns == shuffled.columns
+        assert mixed.exceptAll(broadcast).isEmpty() and broadcast.exceptAll(mixed).isEmpty()
 
 
 def test_lookups_on_the_same_keys_share_a_shuffle(spark):
@@ -189,10 +195,24 @@ def test_a_hot_key_is_spread(spark):
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
 
 
-def test_measured_bytes(spark):
-    small = spark.createDataFrame([("a" * 100,)] * 10, "t string")
-    sizes = joins.measured_bytes([small, small.limit(0), small.union(small)])
-    assert 1000 < sizes[0] < 2000 and sizes[1] == 0 and sizes[2] == 2 * sizes[0]
+def test_lookup_rows_are_copied_by_the_share_of_their_key(spark):
+    hot = {h: 0.0033 for h in range(150)} | {1000: 0.5}
+    rows = spark.createDataFrame([(h,) for h in hot], "h long")
+    salts = rows.select(F.sum(joins._salts(F.col("h"), hot, 2000))).first()[0]
+    assert salts == 2000 + 150 * 14
+    assert rows.select(joins._salts(F.col("h") + 5000, hot, 2000).alias("n")).distinct().collect()[0].n == 1
+
+
+def test_small_lookups_start_no_job_while_the_plan_is_built(spark, folder):
+    fan_out(spark).write.parquet(folder + "/names")
+    left, names = skewed(spark), spark.read.parquet(folder + "/names")
+    spark.sparkContext.setJobGroup("building", "")
+    try:
+        joined = joins.left_lookups(left, [joins.Lookup(names, (("c", "rc"), ("k", "rk")))])
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert joined.count() > left.count()
 
 
 # ---------------------------------------------------------------- reshape

@@ -17,8 +17,10 @@ import json
 import os
 from datetime import datetime, timezone
 
-from tidemark.plans.items import run_item_master
-from tidemark.plans.leadtime import SILVER, FetchTask, run_leadtime, silver_reports
+from pyspark.sql import DataFrame
+
+from tidemark.plans.items import item_reports, run_item_master
+from tidemark.plans.leadtime import SILVER, FetchTask, included_sources, run_leadtime, silver_reports
 from tidemark.session import build_session
 from tidemark.sources.erp import JdbcErp, ParquetErp
 from tidemark.sources.lake import Lake
@@ -32,6 +34,12 @@ def erp_source(settings: dict) -> ParquetErp | JdbcErp:
     return JdbcErp(**fields)
 
 
+def show(reports: dict[str, DataFrame]) -> None:
+    for name, report in reports.items():
+        print(f"\n{name}")
+        report.show(100, truncate=False)
+
+
 def main(arguments: list[str] | None = None) -> dict[str, int]:
     parser = argparse.ArgumentParser(prog="tidemark")
     parser.add_argument("subject", choices=["leadtime", "items"])
@@ -46,12 +54,12 @@ def main(arguments: list[str] | None = None) -> dict[str, int]:
         tasks = [FetchTask(**task) for task in settings["fetch"]]
         skipped = settings.get("skipped", [])
         counts = run_leadtime(lake, tasks, settings["phases"], run_ts, skipped)
-        for name, report in silver_reports(lake.read("silver", SILVER)).items():
-            print(f"\n{name}")
-            report.show(100, truncate=False)
+        reports = {"sources": included_sources(lake, skipped)}
+        show(reports | silver_reports(lake.read("silver", SILVER)))
     else:
         folders = settings.get("export_folders", [])
         counts = run_item_master(lake, erp_source(settings), settings["company"], run_ts, folders)
+        show(item_reports(lake))
     for table, rows in counts.items():
         print(f"{table}: {rows:,} rows")
     return counts

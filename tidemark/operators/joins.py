@@ -1,19 +1,21 @@
 """Left joins against lookup tables.
 
-A lookup is broadcast only after its size has been measured and found small.  A larger
-one is joined by shuffle, and keys that hold a large share of the left rows are spread
-over many tasks by a salt.  Both ways give the same rows.
+Which lookups are small is read off the statistics of their files, without a job.  Small
+ones are plain joins, which adaptive execution broadcasts once it has seen their real size.
+A large one is joined by shuffle, and keys that hold a large share of the left rows are
+spread over tasks by a salt, as many as their share is worth.  Both ways give the same
+rows and the same order of columns.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_SHARE = 0.002
@@ -30,29 +32,10 @@ class Lookup:
     on: tuple[tuple[str, str], ...]
 
 
-def _row_bytes(df: DataFrame) -> Column:
-    sizes = [F.lit(16)]
-    for field in df.schema:
-        column = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            sizes.append(F.coalesce(F.octet_length(column), F.lit(0)) + 8)
-        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            sizes.append(F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0)))
-        else:
-            sizes.append(F.lit(16))
-    return reduce(Column.__add__, sizes)
-
-
-def measured_bytes(tables: Sequence[DataFrame]) -> list[int]:
-    """Size of each table, all measured in one job that returns one row per table."""
-    sizes = [
-        df.select(F.sum(_row_bytes(df).cast("bigint")).alias("bytes")).select(
-            F.lit(i).alias("i"), F.coalesce("bytes", F.lit(0)).alias("bytes")
-        )
-        for i, df in enumerate(tables)
-    ]
-    rows = reduce(DataFrame.unionByName, sizes).collect()
-    return [row.bytes for row in sorted(rows, key=lambda row: row.i)]
+def size_bound(df: DataFrame) -> int:
+    """Bytes of a table as the optimizer estimates them from its files; filters do not lower
+    it, and no job runs."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def _known(keys: Sequence[str]) -> Column:
@@ -61,45 +44,60 @@ def _known(keys: Sequence[str]) -> Column:
 
 def hot_keys(
     df: DataFrame, key_sets: Sequence[Sequence[str]], share: float = HOT_SHARE
-) -> list[list[int]]:
-    """Per key set, hashes of every key that holds at least ``share`` of the rows.
+) -> list[dict[int, float]]:
+    """Per key set, the hash of every key that holds at least ``share`` of the rows, with
+    its share.
 
-    One pass without a shuffle.  The frequent-items sketch may add keys that are not
-    hot but never misses one, and it holds at most ``1 / share`` of them.
+    One pass with a sketch of the most frequent hashes per task, merged in one row; it
+    tracks several times as many as can be hot.
     """
+    most = int(1 / share)
     hashed = df.select(*[
         F.when(_known(keys), F.xxhash64(*keys)).alias(f"h{i}") for i, keys in enumerate(key_sets)
     ])
-    found = hashed.stat.freqItems(hashed.columns, share).first()
-    return [[h for h in hashes if h is not None] for hashes in found]
+    found = hashed.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.expr(f"approx_top_k({h}, {most}, {min(10 * most, 1_000_000)})").alias(h) for h in hashed.columns],
+    ).first()
+    return [
+        {e["item"]: e["count"] / found["n"] for e in found[h] or [] if e["item"] is not None and e["count"] >= share * found["n"]}
+        for h in hashed.columns
+    ]
+
+
+def _salts(hashed: Column, hot: Mapping[int, float], partitions: int) -> Column:
+    """Tasks to spread a key over: twice its share of the partitions, one if it is not hot."""
+    if not hot:
+        return F.lit(1).cast("bigint")
+    pairs = [F.lit(x) for h, share in hot.items() for x in (h, max(2, math.ceil(2 * share * partitions)))]
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), hashed), F.lit(1)).cast("bigint")
 
 
 def salted_left_joins(
-    left: DataFrame, lookups: Sequence[Lookup], hot: Sequence[int], salts: int | None = None
+    left: DataFrame, lookups: Sequence[Lookup], hot: Mapping[int, float], partitions: int | None = None
 ) -> DataFrame:
-    """Shuffle joins on one set of left keys that split hot keys over ``salts`` tasks.
+    """Shuffle joins on one set of left keys that split hot keys (hash to share of the rows).
 
     Hot rows take a salt from their contents and their map partition, which gives
     every retry of a task the same salts; rows with a NULL key, which cannot match,
-    are spread the same way.  The lookup rows of hot keys are repeated once per salt.
-    The left side is shuffled once for all the lookups.
+    are spread the same way.  The lookup rows of a hot key are repeated once per salt:
+    all shares together make at most some copies per partition.  The left side is shuffled
+    once for all the lookups.
     """
     left_keys = [l for l, _ in lookups[0].on]
-    if salts is None:
-        salts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if partitions is None:
+        partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    zero = F.lit(0).cast("bigint")
-    last = F.lit(salts - 1).cast("bigint")
     spread = F.xxhash64(*[f"`{c}`" for c in left.columns]) + F.spark_partition_id()
-    is_hot = ~_known(left_keys) | F.xxhash64(*left_keys).isin(*hot)
-    joined = left.withColumn(
-        "__left_salt", F.when(is_hot, F.pmod(spread, last + 1)).otherwise(zero)
+    salts = F.when(_known(left_keys), _salts(F.xxhash64(*left_keys), hot, partitions)).otherwise(
+        F.lit(partitions).cast("bigint")
     )
+    joined = left.withColumn("__left_salt", F.pmod(spread, salts))
     for lookup in lookups:
         right_keys = [r for _, r in lookup.on]
-        copies = F.when(F.xxhash64(*right_keys).isin(*hot), F.sequence(zero, last))
+        copies = _salts(F.xxhash64(*right_keys), hot, partitions)
         right = lookup.table.dropna(subset=right_keys).withColumn(
-            "__right_salt", F.explode(F.coalesce(copies, F.array(zero)))
+            "__right_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), copies - 1))
         )
         on = [*lookup.on, ("__left_salt", "__right_salt")]
         condition = reduce(Column.__and__, [F.col(l) == F.col(r) for l, r in on])
@@ -112,22 +110,26 @@ def left_lookups(
 ) -> DataFrame:
     """Left joins with several lookups; a lookup that repeats a key fans rows out.
 
-    Shuffle joins come first and broadcast joins last, so the columns that small
+    Shuffle joins come first and joins that may be broadcast last, so the columns that small
     lookups add are not carried through a shuffle.  Large lookups on the same left keys
-    share one.  All keys are columns of ``left``.
+    share one.  All keys are columns of ``left``.  Columns come in the order of ``lookups``.
     """
-    sizes = measured_bytes([lookup.table for lookup in lookups])
-    small = [lookup for lookup, size in zip(lookups, sizes) if size <= broadcast_bytes]
+    order = [*left.columns]
+    for lookup in lookups:
+        right_keys = {r for _, r in lookup.on}
+        order += [c for c in lookup.table.columns if c not in right_keys]
+    small: list[Lookup] = []
     large: dict[tuple[str, ...], list[Lookup]] = {}
-    for lookup, size in zip(lookups, sizes):
-        if size > broadcast_bytes:
+    for lookup in lookups:
+        if size_bound(lookup.table) <= broadcast_bytes:
+            small.append(lookup)
+        else:
             large.setdefault(tuple(l for l, _ in lookup.on), []).append(lookup)
     if large:
         hot = hot_keys(left, list(large))
-        for same_keys, hashes in zip(large.values(), hot):
-            left = salted_left_joins(left, same_keys, hashes)
+        for same_keys, shares in zip(large.values(), hot):
+            left = salted_left_joins(left, same_keys, shares)
     for lookup in small:
         condition = reduce(Column.__and__, [F.col(l) == F.col(r) for l, r in lookup.on])
-        left = left.join(F.broadcast(lookup.table), condition, "left")
-        left = left.drop(*[r for _, r in lookup.on])
-    return left
+        left = left.join(lookup.table, condition, "left").drop(*[r for _, r in lookup.on])
+    return left.select(*[f"`{c}`" for c in order])

@@ -1,14 +1,17 @@
 """Writing tables so that readers only ever see whole, checked ones.
 
-Every write goes to a staging folder beside its target, is counted there, and then
-takes the target's place by rename.  On a store whose folder rename is not atomic,
-publish to a new path per run and let readers follow a pointer instead.
+A table is a folder of runs.  Every write goes to a new run, is counted and checked there,
+and counts as published once an empty marker file names it; readers take the newest marked
+run.  Nothing is renamed or overwritten, so this holds on object stores as well, and a
+reader that began before a newer run was published still finds its files: the run
+before the newest is kept.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -52,60 +55,99 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(name for name in names if not name.startswith(("_", ".")))
 
 
-def _sibling(path: str, role: str) -> str:
-    parent, _, name = path.rstrip("/").rpartition("/")
-    return f"{parent}/_{role}_{name}_{uuid.uuid4().hex}"
+MARKER = "_done_"
+KEPT_RUNS = 2
 
 
-def write_staged(df: DataFrame, target: str) -> tuple[str, int]:
-    """Write beside the target; return the staging path and its checked row count.
+def _names(spark: SparkSession, path: str) -> list[str]:
+    if not is_folder(spark, path):
+        return []
+    return [e.getPath().getName() for e in _file_system(spark, path).listStatus(_path(spark, path))]
+
+
+def _runs(spark: SparkSession, target: str) -> list[str]:
+    """Published runs, newest first."""
+    marked = [n.removeprefix(MARKER) for n in _names(spark, target) if n.startswith(MARKER)]
+    return sorted(marked, reverse=True)
+
+
+def current(spark: SparkSession, target: str) -> str:
+    """Path of the newest published run; a folder without runs, written by others, is itself
+    the table."""
+    runs = _runs(spark, target)
+    return f"{target.rstrip('/')}/{runs[0]}" if runs else target
+
+
+def is_table(spark: SparkSession, target: str) -> bool:
+    return bool(_runs(spark, target))
+
+
+def read_table(spark: SparkSession, target: str) -> DataFrame:
+    return spark.read.parquet(current(spark, target))
+
+
+def write_run(df: DataFrame, target: str) -> tuple[str, int]:
+    """Write a new run; return its path and its checked row count.
 
     Rows are counted on their way into the writer and again in what was written, so
     the check costs no second run of the query.
     """
     spark = df.sparkSession
-    staging = _sibling(target, "staging")
+    run = f"{target.rstrip('/')}/run_{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
     seen = Observation()
     try:
-        df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(staging)
-        written = spark.read.schema(df.schema).parquet(staging).count()
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(run)
+        written = spark.read.schema(df.schema).parquet(run).count()
         if written != seen.get["n"]:
             raise PublishError(f"{target}: {seen.get['n']} rows sent, {written} rows written")
     except BaseException:
-        discard(spark, staging)
+        drop_run(spark, run)
         raise
-    return staging, written
+    return run, written
 
 
-def swap_in(spark: SparkSession, staging: str, target: str) -> None:
-    """Put a staged folder in the place of the target; on failure put the old one back."""
-    fs = _file_system(spark, target)
-    previous = _sibling(target, "previous")
-    had_previous = exists(spark, target)
-    if had_previous and not fs.rename(_path(spark, target), _path(spark, previous)):
-        raise PublishError(f"{target}: could not be moved aside")
-    if not fs.rename(_path(spark, staging), _path(spark, target)):
-        if had_previous:
-            fs.rename(_path(spark, previous), _path(spark, target))
-        raise PublishError(f"{target}: could not be replaced")
-    if had_previous:
-        discard(spark, previous)
+def mark(spark: SparkSession, run: str) -> None:
+    """Make a run the current one, and delete those that no reader should be at any more."""
+    target, _, name = run.rpartition("/")
+    marker = f"{target}/{MARKER}{name}"
+    _file_system(spark, marker).create(_path(spark, marker), False).close()
+    for old in _runs(spark, target)[KEPT_RUNS:]:
+        discard(spark, f"{target}/{MARKER}{old}")
+        discard(spark, f"{target}/{old}")
 
 
 def discard(spark: SparkSession, path: str) -> None:
     _file_system(spark, path).delete(_path(spark, path), True)
 
 
-def publish(df: DataFrame, target: str, *, allow_empty: bool = True) -> int:
-    """Full refresh of one table: write, check, swap.  Returns the row count."""
+def drop_run(spark: SparkSession, run: str) -> None:
+    """Delete a run that was not published, and its table's folder if it has no other."""
+    discard(spark, run)
+    target = run.rpartition("/")[0]
+    if is_folder(spark, target) and not _names(spark, target):
+        discard(spark, target)
+
+
+def publish(
+    df: DataFrame,
+    target: str,
+    *,
+    allow_empty: bool = True,
+    check: Callable[[DataFrame], object] | None = None,
+) -> int:
+    """Full refresh of one table: write, count, check what was written, mark.  Returns the row
+    count; if anything raises, readers keep the table they had."""
     spark = df.sparkSession
-    staging, rows = write_staged(df, target)
+    run, rows = write_run(df, target)
     try:
         if rows == 0 and not allow_empty:
             raise EmptyExtract(f"{target}: no rows, the existing table is kept")
-        swap_in(spark, staging, target)
-    finally:
-        discard(spark, staging)
+        if check is not None:
+            check(spark.read.parquet(run))
+        mark(spark, run)
+    except BaseException:
+        drop_run(spark, run)
+        raise
     return rows
 
 
@@ -115,19 +157,17 @@ def copy_to_folders(spark: SparkSession, source: str, folders: Iterable[str]) ->
     A folder that does not exist is an error: it usually means a mount is missing.
     """
     name = source.rstrip("/").rpartition("/")[2]
-    table = spark.read.parquet(source)
+    table = read_table(spark, source)
     expected = table.count()
+
+    def complete(copy: DataFrame) -> None:
+        if (rows := copy.count()) != expected:
+            raise PublishError(f"{name}: {expected} rows expected, {rows} copied")
+
     published = {}
     for folder in folders:
         if not is_folder(spark, folder):
             raise FileNotFoundError(f"export folder not found: {folder}")
         target = f"{folder.rstrip('/')}/{name}"
-        staging, rows = write_staged(table, target)
-        try:
-            if rows != expected:
-                raise PublishError(f"{target}: {expected} rows expected, {rows} copied")
-            swap_in(spark, staging, target)
-        finally:
-            discard(spark, staging)
-        published[target] = rows
+        published[target] = publish(table, target, check=complete)
     return published

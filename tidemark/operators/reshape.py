@@ -41,3 +41,13 @@ def cells_to_table(
         for i, name in enumerate(headers)
     ]
     return cells.groupBy(*row_keys).agg(*columns)
+
+
+def clustered(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows ranged over partitions and sorted by ``keys``, so that files hold disjoint spans
+    and a reader can skip those it does not need.
+
+    The keys after the first break ties: rows of one hot value go to several partitions.
+    """
+    keys = tuple(dict.fromkeys(keys))
+    return df.repartitionByRange(*map(quoted, keys)).sortWithinPartitions(*map(quoted, keys))

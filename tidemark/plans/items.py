@@ -15,6 +15,8 @@ from tidemark.operators import publish, quality
 from tidemark.operators.dedup import keep_first
 from tidemark.operators.joins import BROADCAST_BYTES, Lookup, left_lookups
 from tidemark.operators.landing import LINEAGE, land_text, quoted, stamp
+from tidemark.operators.reshape import clustered
+from tidemark.session import size_shuffles
 from tidemark.sources.erp import JdbcErp, ParquetErp, read_erp
 from tidemark.sources.lake import Lake
 
@@ -156,6 +158,24 @@ def item_report(bronze: DataFrame) -> DataFrame:
     return quality.load_report(bronze, "sku")
 
 
+def erp_table(name: str) -> str:
+    return f"erp_{name.lower()}"
+
+
+def land_erp(lake: Lake, source: ParquetErp | JdbcErp, company: int) -> dict[str, DataFrame]:
+    """Every base table copied to Bronze once, and read from there."""
+    tables = read_erp(lake.spark, source, company)
+    for name, rows in tables.items():
+        lake.write("bronze", erp_table(name), rows)
+    return {name: lake.read("bronze", erp_table(name)) for name in tables}
+
+
+def item_reports(lake: Lake) -> dict[str, DataFrame]:
+    """What to look at after a run: rows that landed, and rows the one-per-SKU step dropped."""
+    bronze = lake.read("bronze", BRONZE)
+    return {"items": item_report(bronze), "repeated": quality.repeat_report(bronze, "sku")}
+
+
 def run_item_master(
     lake: Lake,
     source: ParquetErp | JdbcErp,
@@ -163,22 +183,22 @@ def run_item_master(
     run_ts: datetime,
     export_folders: Iterable[str] = (),
 ) -> dict[str, int]:
-    """The whole subject: extract, Bronze as text, Silver, the gated dimension, copies."""
+    """The whole subject: base tables landed once, joined to Bronze as text, Silver, the gated
+    dimension, copies."""
     spark = lake.spark
     lake.create_layers()
-    extract = land_text(enrich_items(read_erp(spark, source, company)))
+    landed = land_erp(lake, source, company)
+    size_shuffles(spark, [lake.path("bronze", erp_table(name)) for name in landed])
+    extract = land_text(enrich_items(landed))
     bronze_rows = lake.write("bronze", BRONZE, stamp(extract, run_ts, BRONZE), allow_empty=False)
 
-    silver = build_item_silver(lake.read("bronze", BRONZE)).sortWithinPartitions("sku")
+    silver = clustered(build_item_silver(lake.read("bronze", BRONZE)), "sku")
     silver_rows = lake.write("silver", SILVER, silver)
 
-    dimension = build_item_dimension(lake.read("silver", SILVER)).sortWithinPartitions("SKU")
-    target = lake.path("gold", GOLD)
-    staging, gold_rows = publish.write_staged(dimension, target)
-    try:
-        quality.enforce(quality.grain_gate(spark.read.parquet(staging), "SKU"), "item dimension")
-        publish.swap_in(spark, staging, target)
-    finally:
-        publish.discard(spark, staging)
-    publish.copy_to_folders(spark, target, export_folders)
+    dimension = clustered(build_item_dimension(lake.read("silver", SILVER)), "SKU")
+    gold_rows = lake.write(
+        "gold", GOLD, dimension,
+        check=lambda table: quality.enforce(quality.grain_gate(table, "SKU"), "item dimension"),
+    )
+    publish.copy_to_folders(spark, lake.path("gold", GOLD), export_folders)
     return {BRONZE: bronze_rows, SILVER: silver_rows, GOLD: gold_rows}

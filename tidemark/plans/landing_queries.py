@@ -307,7 +307,7 @@ def publish_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
         publish.make_folder(spark, folder)
     publish.copy_to_folders(spark, lake.path("gold", "customer"), folders.values())
     copies = [
-        spark.read.parquet(f"{path}/customer").select(F.lit(name).alias("folder"), "*")
+        publish.read_table(spark, f"{path}/customer").select(F.lit(name).alias("folder"), "*")
         for name, path in folders.items()
     ]
     return reduce(DataFrame.unionByName, copies)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,7 +44,8 @@ from tidemark.operators.landing import (
     quoted,
     stamp,
 )
-from tidemark.operators.reshape import unpivot
+from tidemark.operators.reshape import clustered, unpivot
+from tidemark.session import size_shuffles
 from tidemark.sources.files import NoMatchingFiles, read_phases, select_files
 from tidemark.sources.lake import Lake, work_folder
 from tidemark.sources.workbook import sheet_headers, workbook_rows
@@ -157,6 +160,14 @@ def all_sources(
     return mapped + discover_sources(tables, spec, skipped, first_period)
 
 
+def source_report(spark: SparkSession, sources: Sequence[SourceSpec]) -> DataFrame:
+    """The sources a run included, in order, with the window each was cut to."""
+    return spark.createDataFrame(
+        [(s.period, s.table, s.start, s.end) for s in sources],
+        "period string, table_name string, first_day date, end_day date",
+    )
+
+
 def silver_reports(silver: DataFrame) -> dict[str, DataFrame]:
     """The metrics to look at after a Silver run."""
     return {
@@ -266,62 +277,99 @@ def load_bronze(
 ) -> list[str]:
     """Land every tab of every selected workbook as its own Bronze table.
 
-    Workbooks are decoded once, in parallel, into a staged table split by tab; each tab
-    is then shaped from its own part.  A bad workbook or tab does not stop the others:
-    all failures are raised together at the end.
+    The workbooks of all tasks are decoded once, in parallel, into a staged table split by
+    tab; each tab is then shaped from its own part.  A task without files, a bad workbook
+    or a bad tab does not stop the others: all failures are raised together at the end.
+    A workbook that several tasks select is loaded once.
     """
     spark = lake.spark
-    landed: list[str] = []
-    failures: list[str] = []
+    failures: list[Exception | str] = []
+    selected, seen = [], set()
     for task in tasks:
-        files = select_files(spark, task.folder, task.keyword)
-        if files.select("path").isEmpty():
-            raise NoMatchingFiles(f"no workbook with {task.keyword!r} in {task.folder}")
-        stem = F.regexp_replace("file_name", r"\.[^.]*$", "")
-        rows = (
-            workbook_rows(files)
-            .withColumn("file_name", F.substring_index("path", "/", -1))
-            .withColumn("table", F.concat(table_name(stem), F.lit("_"), table_name(F.col("tab"))))
-        )
-        staged = f"{work_folder(spark)}/{run_ts:%Y%m%dT%H%M%S}/{clean_table_name(task.folder)}"
-        rows.write.mode("overwrite").partitionBy("table").parquet(staged)
-        decoded = spark.read.schema(rows.schema).parquet(staged)
-
-        bad = decoded.filter("error is not null").select("file_name", "error").collect()
-        failures += [f"{row.file_name}: {row.error}" for row in bad]
-        bad_files = {row.file_name for row in bad}
-        good = decoded.filter("error is null")
-        tab_key = ["table", "file_name", "tab"]
-        first_rows = {
-            (row.table, row.file_name, row.tab): row.cells
-            for row in good.filter("row_no = 1").select(*tab_key, "cells").collect()
-        }
-        widths = good.groupBy(*tab_key).agg(F.max(F.size("cells")).alias("width")).collect()
-
-        def land(tab) -> str | None:
-            part = good.filter(F.col("table") == tab.table)
-            part = part.filter((F.col("file_name") == tab.file_name) & (F.col("tab") == tab.tab))
-            first_row = first_rows.get((tab.table, tab.file_name, tab.tab), [])
-            headers = sheet_headers(first_row, tab.width)
-            try:
-                table = land_tab(part, headers, tab.file_name, tab.tab)
-                lake.write("bronze", tab.table, stamp(table, run_ts, tab.file_name))
-            except Exception as problem:
-                return f"{tab.file_name} / {tab.tab}: {problem}"
-            landed.append(tab.table)
-            return None
-
-        wanted = sorted((t for t in widths if t.file_name not in bad_files), key=lambda t: t.table)
-        uses = Counter(t.table for t in wanted)
-        failures += [f"several tabs land as {name}" for name, n in uses.items() if n > 1]
-        wanted = [t for t in wanted if uses[t.table] == 1]
-        with ThreadPoolExecutor(parallel_tabs) as pool:
-            failures += [problem for problem in pool.map(land, wanted) if problem]
+        try:
+            files = select_files(spark, task.folder, task.keyword)
+            paths = {row.path for row in files.select("path").collect()}
+            if not paths:
+                raise NoMatchingFiles(f"no workbook with {task.keyword!r} in {task.folder}")
+        except FileNotFoundError as problem:
+            failures.append(problem)
+            continue
+        if again := paths & seen:
+            files = files.filter(~F.col("path").isin(*again))
+        seen |= paths
+        selected.append(workbook_rows(files))
+    landed: list[str] = []
+    if selected:
+        staged = f"{work_folder(spark)}/{run_ts:%Y%m%dT%H%M%S}_{uuid.uuid4().hex}"
+        try:
+            landed, problems = _land_tabs(lake, reduce(DataFrame.union, selected), staged, run_ts, parallel_tabs)
+            failures += problems
+        finally:
+            publish.discard(spark, staged)
+    if len(failures) == 1 and isinstance(failures[0], Exception) and not selected:
+        raise failures[0]
     if failures:
-        raise LoadFailed("; ".join(failures))
+        raise LoadFailed("; ".join(map(str, failures)))
     return sorted(landed)
 
 
+def _land_tabs(
+    lake: Lake, decoded: DataFrame, staged: str, run_ts: datetime, parallel_tabs: int
+) -> tuple[list[str], list[str]]:
+    """Tables landed, and what failed.  One job decodes, one lists the tabs, then each tab is
+    written on its own."""
+    spark = lake.spark
+    file_name = F.substring_index("path", "/", -1)
+    stem = F.regexp_replace(file_name, r"\.[^.]*$", "")
+    rows = decoded.withColumn("file_name", file_name).withColumn(
+        "table", F.concat(table_name(stem), F.lit("_"), table_name(F.col("tab")))
+    )
+    rows.write.partitionBy("table").parquet(staged)
+    decoded = spark.read.schema(rows.schema).parquet(staged)
+    tabs = (
+        decoded.groupBy("table", "path", "file_name", "tab")
+        .agg(
+            F.max(F.size("cells")).alias("width"),
+            F.max(F.when(F.col("row_no") == 1, F.col("cells"))).alias("first_row"),
+            F.max("error").alias("error"),
+        )
+        .collect()
+    )
+    failures = [f"{tab.file_name}: {tab.error}" for tab in tabs if tab.error is not None]
+    bad_files = {tab.path for tab in tabs if tab.error is not None}
+    wanted = sorted((t for t in tabs if t.path not in bad_files), key=lambda t: (t.table, t.path))
+    uses = Counter(t.table for t in wanted)
+    failures += [f"several tabs land as {name}" for name, n in uses.items() if n > 1]
+
+    def land(tab) -> str | None:
+        part = decoded.filter(
+            (F.col("table") == tab.table) & (F.col("path") == tab.path) & (F.col("tab") == tab.tab)
+        )
+        try:
+            headers = sheet_headers(tab.first_row or [], tab.width)
+            table = land_tab(part, headers, tab.file_name, tab.tab)
+            lake.write("bronze", tab.table, stamp(table, run_ts, tab.file_name))
+        except Exception as problem:
+            return f"{tab.file_name} / {tab.tab}: {problem}"
+        return None
+
+    single = [t for t in wanted if uses[t.table] == 1]
+    with ThreadPoolExecutor(parallel_tabs) as pool:
+        problems = list(pool.map(land, single))
+    landed = [tab.table for tab, problem in zip(single, problems) if problem is None]
+    return landed, failures + [problem for problem in problems if problem]
+
+
+def bronze_sources(lake: Lake, skipped: Iterable[str] = ()) -> tuple[dict[str, DataFrame], list[SourceSpec]]:
+    """Bronze lead-time tables and the sources found among them."""
+    tables = {t: lake.read("bronze", t) for t in lake.tables("bronze", fixed.TABLE_KEYWORD)}
+    return tables, all_sources(tables, skipped=skipped)
+
+
+def included_sources(lake: Lake, skipped: Iterable[str] = ()) -> DataFrame:
+    return source_report(lake.spark, bronze_sources(lake, skipped)[1])
+
+
 def run_leadtime(
     lake: Lake,
     tasks: Iterable[FetchTask],
@@ -331,23 +379,21 @@ def run_leadtime(
 ) -> dict[str, int]:
     """The whole subject: Bronze, Silver behind its gate, Gold.  Returns row counts.
 
-    Silver is written once, beside the current table; the gate reads what was written
-    and only then does it take the current table's place.
+    Silver is written once, as a new run; the gate reads what was written and only then
+    does the run become the current table.  Rows are ranged by ``etd``, so files hold
+    disjoint spans of it.
     """
     spark = lake.spark
     lake.create_layers()
     load_bronze(lake, tasks, run_ts)
 
-    tables = {t: lake.read("bronze", t) for t in lake.tables("bronze", fixed.TABLE_KEYWORD)}
-    sources = all_sources(tables, skipped=skipped)
-    silver = build_silver(tables, sources).sortWithinPartitions("etd")
-    target = lake.path("silver", SILVER)
-    staging, rows = publish.write_staged(silver, target)
-    try:
-        quality.enforce(quality.null_gate(spark.read.parquet(staging), "etd"), "Silver etd")
-        publish.swap_in(spark, staging, target)
-    finally:
-        publish.discard(spark, staging)
+    tables, sources = bronze_sources(lake, skipped)
+    size_shuffles(spark, [lake.path("bronze", s.table) for s in sources])
+    silver = clustered(build_silver(tables, sources), "etd", *fixed.LEG_KEY)
+    rows = lake.write(
+        "silver", SILVER, silver,
+        check=lambda table: quality.enforce(quality.null_gate(table, "etd"), "Silver etd"),
+    )
 
     gold = build_gold(lake.read("silver", SILVER), phases_path)
     return {SILVER: rows} | {name: lake.write("gold", name, df) for name, df in gold.items()}

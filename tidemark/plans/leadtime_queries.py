@@ -16,6 +16,7 @@ from tidemark.operators.dedup import keep_latest
 from tidemark.operators.drift import ColumnSpec, SourceSpec, TableSpec, align_all
 from tidemark.operators.joins import Lookup, left_lookups
 from tidemark.operators.landing import INSERT_TS, SOURCE_FILE
+from tidemark.operators.publish import discard
 from tidemark.plans.inputs import FIRST_PERIOD, MAPPED, bronze_legs, order_legs, read, read_spread
 from tidemark.plans.leadtime import (
     LEG_TABLE,
@@ -572,8 +573,13 @@ def dim_phase(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     path = f"{work_folder(spark)}/phases_{uuid.uuid4().hex}"
-    write_phases(spark, path)
-    return read_phases(spark, path).join(per_phase, "Phase").orderBy("phase_order")
+    try:
+        write_phases(spark, path)
+        # A master kept by hand, nine rows.
+        phases = spark.createDataFrame(read_phases(spark, path).collect(), fixed.PHASE_SCHEMA)
+    finally:
+        discard(spark, path)
+    return phases.join(per_phase, "Phase").orderBy("phase_order")
 
 
 # ---------------------------------------------------------------- reports

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import SparkSession
 
 PARTITION_BYTES = 128 * 1024 * 1024
@@ -13,6 +15,22 @@ def shuffle_partitions(input_bytes: int, cores: int) -> int:
     return max(cores, -(-input_bytes // PARTITION_BYTES))
 
 
+# Parquet is smaller than the rows that are shuffled from it.
+EXPANSION = 3
+
+
+def size_shuffles(spark: SparkSession, paths: Iterable[str]) -> int:
+    """Set the session's shuffle partitions for the data below ``paths`` and return them."""
+    size = 0
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        size += files.getContentSummary(place).getLength()
+    partitions = shuffle_partitions(size * EXPANSION, spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return partitions
+
+
 def build_session(
     name: str = "tidemark", master: str | None = None, partitions: int | None = None, **settings: str
 ) -> SparkSession:

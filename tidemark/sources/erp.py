@@ -32,10 +32,10 @@ class ParquetErp:
 
 @dataclass(frozen=True)
 class JdbcErp:
-    """ERP tables read over JDBC.
+    """ERP tables read over JDBC, each in ``parts`` parts by a checksum of its key column.
 
-    ``splits`` gives, per table, the WHERE conditions that cut it into disjoint parts
-    covering it, one per task; a table without an entry is read in one part.
+    ``splits`` gives, for tables that should be cut otherwise, the WHERE conditions of
+    disjoint parts covering the table, one per task.
     """
 
     url: str
@@ -46,6 +46,8 @@ class JdbcErp:
     login_seconds: int = 30
     query_seconds: int = 600
     fetch_rows: int = 10_000
+    parts: int = 16
+    part_condition: str = "ABS(CAST(CHECKSUM({key}) AS BIGINT)) % {parts} = {part}"
     splits: Mapping[str, list[str]] = field(default_factory=dict)
 
     def options(self) -> dict[str, str]:
@@ -64,11 +66,17 @@ class JdbcErp:
 
     def table(self, spark: SparkSession, name: str) -> DataFrame:
         options = self.options()
-        source = f"{self.schema}.{name}"
-        if name not in self.splits:
-            return spark.read.format("jdbc").options(**options, dbtable=source).load()
         url = options.pop("url")
-        return spark.read.jdbc(url, source, predicates=self.splits[name], properties=options)
+        return spark.read.jdbc(
+            url, f"{self.schema}.{name}", predicates=self.conditions(name), properties=options
+        )
+
+    def conditions(self, name: str) -> list[str]:
+        """WHERE conditions of the parts a table is read in."""
+        if name in self.splits:
+            return self.splits[name]
+        key = fixed.ERP_COLUMNS[name][1]
+        return [self.part_condition.format(key=key, parts=self.parts, part=i) for i in range(self.parts)]
 
 
 def read_erp(

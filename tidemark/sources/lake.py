@@ -1,8 +1,10 @@
-"""The layered lake: one Parquet folder per table under a folder per layer."""
+"""The layered lake: one folder of published runs per table under a folder per layer."""
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+from collections.abc import Callable
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,14 +30,22 @@ class Lake:
             raise ValueError(f"unknown layer {layer}")
         return f"{self.root}/{layer}/{table}"
 
-    def write(self, layer: str, table: str, df: DataFrame, *, allow_empty: bool = True) -> int:
-        return publish.publish(df, self.path(layer, table), allow_empty=allow_empty)
+    def write(
+        self,
+        layer: str,
+        table: str,
+        df: DataFrame,
+        *,
+        allow_empty: bool = True,
+        check: Callable[[DataFrame], object] | None = None,
+    ) -> int:
+        return publish.publish(df, self.path(layer, table), allow_empty=allow_empty, check=check)
 
     def read(self, layer: str, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(layer, table))
+        return publish.read_table(self.spark, self.path(layer, table))
 
     def has(self, layer: str, table: str) -> bool:
-        return publish.exists(self.spark, self.path(layer, table))
+        return publish.is_table(self.spark, self.path(layer, table))
 
     def tables(self, layer: str, containing: str = "") -> list[str]:
         names = publish.folder_names(self.spark, f"{self.root}/{layer}")
@@ -47,14 +57,16 @@ class Lake:
 
 @cache
 def _own_folder() -> str:
-    return tempfile.mkdtemp(prefix="tidemark-")
+    folder = tempfile.TemporaryDirectory(prefix="tidemark-")
+    atexit.register(folder.cleanup)
+    return folder.name
 
 
 def work_folder(spark: SparkSession) -> str:
     """Folder for written intermediate tables, shared by all executors.
 
     The cluster names it in ``spark.checkpoint.dir``.  Where that is unset, a session
-    without a cluster gets a folder of its own; a cluster session is refused.
+    without a cluster gets a folder of its own until it ends; a cluster session is refused.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
