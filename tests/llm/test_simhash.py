@@ -77,6 +77,29 @@ def test_links_connect_what_all_pairs_connect(spark, shard):
     assert sorted(map(sorted, want.values())) == sorted(map(sorted, got.values()))
 
 
+def test_a_group_too_dense_to_part_is_not_gathered(spark):
+    r = random.Random(9)
+    centre = r.getrandbits(64)
+    ball = {centre}
+    while len(ball) < 1500:  # most of them four bits apart: no vantage parts them
+        a, b = r.sample(range(64), 2)
+        ball.add(centre ^ (1 << a) ^ (1 << b))
+    ball = set(r.sample(sorted(ball - {centre}), 1400))
+    points = sorted(ball | {r.getrandbits(64) for _ in range(300)})
+    frame = spark.createDataFrame([(p - 2**64 if p >= 2**63 else p,) for p in points], "fingerprint long")
+    tree = op.grow(np.array(points, dtype=np.uint64), 2, 8, 100)
+    assert op.DENSE_LEAF in str(tree)
+    found = op.links(frame, shard=20)
+    largest = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in largest
+    roots = {row.node % 2**64: row.root % 2**64 for row in op.components(found).collect()}
+    want, got = {}, {}
+    for p, l in zip(points, groups(points)):
+        want.setdefault(l, set()).add(p)
+        got.setdefault(roots.get(p, p), set()).add(p)
+    assert sorted(map(sorted, want.values())) == sorted(map(sorted, got.values()))
+
+
 def test_dense_points_link_alike(monkeypatch):
     r = np.random.default_rng(2)
     points = np.unique(np.bitwise_or.reduce(np.uint64(1) << r.integers(0, 64, (700, 3)).astype(np.uint64), axis=1))

@@ -6,7 +6,9 @@ vantage.  Two fingerprints within the allowed distance that a vantage parts both
 to its boundary, by the triangle inequality; so the inner one also goes across as a probe.
 Every shard grows its own tree below, prunes the same way and compares exactly in its
 leaves.  A shard returns a spanning forest of its links, which connects the same
-fingerprints as all its pairs do.  Components are joined up by :mod:`components`.
+fingerprints as all its pairs do.  A leaf of many shards' size that no vantage parts, as a very
+large group of near copies makes, is not gathered: its links are joined by shared
+neighbours.  Components are joined up by :mod:`components`.
 
 Defined cases: null and empty texts, and texts of white space, have fingerprint zero and link
 like any other.  Rows without doc_id take part; a component_id is the smallest doc_id that is
@@ -30,6 +32,8 @@ SEED, BITS = 42, 64
 SHARD = 2048  # distinct fingerprints a shard is planned for
 SAMPLE_PER_SHARD, SAMPLE_MOST = 64, 1 << 18  # the sample that the tree of shards is fitted on
 LEAF = 512
+DENSE_LEAF = "dense"
+DENSE_SHARDS = 4  # a leaf of so many shards' points that no vantage parts is linked by key
 DENSE = 8192  # a larger leaf that no vantage parts is linked through the neighbours of its points
 
 
@@ -63,9 +67,11 @@ def distances(points: np.ndarray, vantage: np.uint64) -> np.ndarray:
     return np.bitwise_count(points ^ vantage).astype(np.int16)
 
 
-def vantage_point(points: np.ndarray, radius: int, tries: int = 24) -> tuple[np.uint64, int] | None:
+def vantage_point(
+    points: np.ndarray, radius: int, worst: float, tries: int = 24
+) -> tuple[np.uint64, int] | None:
     """The vantage and boundary with the fewest points near the boundary, among some evenly
-    chosen ones; None if none parts the points."""
+    chosen ones; None if that is more than a share of ``worst`` of all points."""
     best = None
     for vantage in points[:: max(1, len(points) // tries)][:tries]:
         counts = np.cumsum(np.bincount(distances(points, vantage), minlength=BITS + 1))
@@ -73,37 +79,40 @@ def vantage_point(points: np.ndarray, radius: int, tries: int = 24) -> tuple[np.
             near = counts[cut] - counts[max(0, cut - radius)]
             if best is None or near < best[0]:
                 best = (near, vantage, int(cut))
-    # Where most points lie at the boundary, parting them saves nothing.
-    return None if best is None or best[0] > 0.5 * len(points) else (best[1], best[2])
+    return None if best is None or best[0] > worst * len(points) else (best[1], best[2])
 
 
-def grow(points: np.ndarray, radius: int, levels: int) -> list:
-    """A tree as nested [vantage, boundary, inner, outer]; an empty list is a leaf."""
-    if not levels or len(points) < 32 or (node := vantage_point(points, radius)) is None:
+def grow(points: np.ndarray, radius: int, levels: int, most: int) -> list:
+    """A tree as nested [vantage, boundary, inner, outer].  An empty list is a leaf, [DENSE_LEAF]
+    one of more than ``most`` sample points that no vantage parts."""
+    if not levels or len(points) < 32:
         return []
+    # Of points all over the space a fifth lie that near; more of them would be dealt twice.
+    if (node := vantage_point(points, radius, 0.3)) is None:
+        return [DENSE_LEAF] if len(points) > most and radius == 2 else []
     inner = distances(points, node[0]) <= node[1]
     return [
-        *node, grow(points[inner], radius, levels - 1), grow(points[~inner], radius, levels - 1),
+        *node, grow(points[inner], radius, levels - 1, most), grow(points[~inner], radius, levels - 1, most),
     ]
 
 
 def route(tree: list, points: np.ndarray, rows: np.ndarray, radius: int, probe: bool, path: int = 1):
-    """(leaf, rows, probe) of all leaves that ``points`` belong to or must be compared in."""
+    """(leaf, rows, probe, dense) of all leaves that ``points`` belong to or must be compared in."""
     if not len(points):
         return
-    if not tree:
-        yield path, rows, probe
+    if len(tree) < 2:
+        yield path, rows, probe, bool(tree)
         return
     vantage, cut, inside, outside = tree
     d = distances(points, vantage)
     inner, outer = d <= cut, d > cut
     for side, choice, as_probe in (
-        (inside, inner, probe),
-        (outside, outer, probe),
-        (outside, inner & (d > cut - radius), True),
-        *([(inside, outer & (d <= cut + radius), True)] if probe else []),
+        (0, inner, probe),
+        (1, outer, probe),
+        (1, inner & (d > cut - radius), True),
+        *([(0, outer & (d <= cut + radius), True)] if probe else []),
     ):
-        yield from route(side, points[choice], rows[choice], radius, as_probe, 2 * path + (side is outside))
+        yield from route((inside, outside)[side], points[choice], rows[choice], radius, as_probe, 2 * path + side)
 
 
 class Forest:
@@ -146,7 +155,7 @@ def link(points: np.ndarray, rows: np.ndarray, home: np.ndarray, radius: int, fo
     """The shard's own tree: part, prune, and compare in the leaves."""
     if not home.any():
         return
-    if len(points) > LEAF and (node := vantage_point(points, radius)) is not None:
+    if len(points) > LEAF and (node := vantage_point(points, radius, 0.5)) is not None:
         d = distances(points, node[0])
         inner, outer = d <= node[1], d > node[1]
         # Homes across the boundary meet on the outer side; probes visit both.
@@ -171,12 +180,15 @@ def links(distinct: DataFrame, radius: int = 2, shard: int = SHARD) -> DataFrame
     taken = min(SAMPLE_MOST, SAMPLE_PER_SHARD * shards)
     sample = distinct.orderBy(F.xxhash64("fingerprint", F.lit("vantage"))).limit(taken).collect()
     points = np.array(sorted(r[0] for r in sample), dtype=np.int64).view(np.uint64)
-    tree = spark.sparkContext.broadcast(grow(points, radius, math.ceil(math.log2(shards))))
+    # Sample points that stand for DENSE_SHARDS shards, of all that there are.
+    most = DENSE_SHARDS * max(32, len(points) // shards)
+    tree = spark.sparkContext.broadcast(grow(points, radius, math.ceil(math.log2(shards)), most))
 
     def deal(values):
         points = values.to_numpy(zero_copy_only=False).view(np.uint64)
-        for leaf, rows, probe in route(tree.value, points, np.arange(len(points)), radius, False):
-            yield [np.full(len(rows), leaf), points[rows].view(np.int64), np.full(len(rows), not probe)]
+        for leaf, rows, probe, dense in route(tree.value, points, np.arange(len(points)), radius, False):
+            n = len(rows)
+            yield [np.full(n, leaf), points[rows].view(np.int64), np.full(n, not probe), np.full(n, dense)]
 
     def connect(table: pa.Table) -> pa.Table:
         points = table["fingerprint"].to_numpy().view(np.uint64)
@@ -188,9 +200,31 @@ def links(distinct: DataFrame, radius: int = 2, shard: int = SHARD) -> DataFrame
             "a": points[linked].view(np.int64), "b": points[forest.label[linked]].view(np.int64),
         })
 
-    dealt = map_columns(distinct, deal, "shard long, fingerprint long, home boolean", F.col("fingerprint"))
+    dealt = map_columns(
+        distinct, deal, "shard long, fingerprint long, home boolean, dense boolean", F.col("fingerprint")
+    )
     # Comparing costs far more than the few bytes of a shard let adaptive execution expect.
-    return dealt.repartition(shards, "shard").groupBy("shard").applyInArrow(connect, "a long, b long")
+    found = (
+        dealt.where("NOT dense").drop("dense").repartition(shards, "shard").groupBy("shard")
+        .applyInArrow(connect, "a long, b long")
+    )
+    if DENSE_LEAF in str(tree.value):
+        found = found.union(dense_links(dealt.where("dense").select("fingerprint").distinct()))
+    return found
+
+
+def dense_links(points: DataFrame) -> DataFrame:
+    """Links of points that share a point within one bit, each with the smallest that does:
+    two points within two bits always share one.  65 rows per point, wherever they go."""
+    near = F.transform(
+        F.sequence(F.lit(-1), F.lit(BITS - 1)),
+        lambda i: F.when(i < 0, F.col("fingerprint")).otherwise(
+            F.col("fingerprint").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), i))
+        ),
+    )
+    keys = points.select("fingerprint", F.explode(near).alias("key"))
+    smallest = keys.groupBy("key").agg(F.min("fingerprint").alias("b"), F.count("*").alias("n")).where("n > 1")
+    return keys.join(smallest, "key").where("fingerprint <> b").select(F.col("fingerprint").alias("a"), "b")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
