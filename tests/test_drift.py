@@ -22,6 +22,7 @@ from tidemark.plans.leadtime import (
     LEG_TABLE,
     PERIOD,
     STATIC_SOURCES,
+    STATIC_TABLE,
     all_sources,
     build_silver,
 )
@@ -158,7 +159,7 @@ def test_no_sources():
 def test_static_variant_has_an_open_last_window(spark):
     table = bronze_table(spark, [bronze_row(etd=datetime(2030, 1, 1))])
     tables = {HISTORICAL[-1].table: table}
-    assert align_all(tables, LEG_TABLE, STATIC_SOURCES).count() == 1
+    assert align_all(tables, STATIC_TABLE, STATIC_SOURCES).count() == 1
     assert align_all(tables, LEG_TABLE, HISTORICAL).count() == 0
 
 

@@ -30,7 +30,7 @@ def test_query_matches_sql(spark, duck, name):
 
 LEG_QUERIES = [
     "legacy_swap", "null_gate", "period_windows", "report_duplicates", "report_nulls", "report_period",
-    "report_total", "schema_align", "silver_e2e",
+    "report_total", "schema_align", "silver_e2e", "static_align",
 ]
 
 

@@ -25,7 +25,7 @@ from tidemark.plans.leadtime import LEG_TABLE
 from tidemark.plans.registry import query
 from tidemark.sources.erp import one_company
 from tidemark.sources.files import file_manifest
-from tidemark.sources.lake import Lake, work_folder
+from tidemark.sources.lake import Lake, catalog_tables, work_folder
 
 RUN_TS = datetime(2026, 1, 2, 3, 4, 5, tzinfo=timezone.utc)
 
@@ -200,14 +200,21 @@ COLUMNS = {
     ),
 )
 def catalog_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every column of every table, from the tables' schemas, with its filled values."""
-    profiles = []
+    """Every column of every table that the catalog lists under a name, with its filled values."""
+    prefix = f"listed_{uuid.uuid4().hex}_"
     for name in TABLES:
-        table = read(spark, sf_dir, name)
-        lowered = [c.lower() for c in table.columns]
-        filled = table.toDF(*lowered).agg(*[F.count(c).alias(c) for c in lowered])
+        read(spark, sf_dir, name).createOrReplaceTempView(prefix + name)
+    try:
+        listed = catalog_tables(spark, "default", f"{prefix}*").collect()
+    finally:
+        for name in TABLES:
+            spark.catalog.dropTempView(prefix + name)
+    profiles = []
+    for row in listed:
+        name = row.table_name.removeprefix(prefix)
+        filled = read(spark, sf_dir, name).toDF(*row.columns).agg(*[F.count(c).alias(c) for c in row.columns])
         profiles.append(
-            filled.unpivot([], lowered, "column_name", "filled").select(
+            filled.unpivot([], row.columns, "column_name", "filled").select(
                 F.lit(name).alias("table_name"), "column_name", "filled"
             )
         )

@@ -108,7 +108,11 @@ LEG_TABLE = TableSpec(
 
 HISTORICAL = [SourceSpec(*row) for row in fixed.HISTORICAL_PERIODS]
 
-# The hand-checked variant of the union: the same seven tables, the last window open.
+# The hand-checked variant of the union: the same seven tables, the last window open, and
+# values as the tables have them, neither guarded by dates nor swapped.
+STATIC_TABLE = replace(
+    LEG_TABLE, legacy_marker=None, columns=tuple(replace(c, spans=None) for c in LEG_TABLE.columns)
+)
 STATIC_SOURCES = [*HISTORICAL[:-1], replace(HISTORICAL[-1], end=None)]
 
 

@@ -77,9 +77,10 @@ def work_folder(spark: SparkSession) -> str:
 
 
 def catalog_tables(spark: SparkSession, database: str, pattern: str = "*") -> DataFrame:
-    """(table_name, columns) rows of a database in the session catalog."""
+    """(table_name, columns) rows of the tables of a database in the session catalog whose
+    names match; views of the session belong to every database."""
     rows = [
-        (t.name, [c.name.lower() for c in spark.catalog.listColumns(f"{database}.{t.name}")])
+        (t.name, [c.name.lower() for c in spark.catalog.listColumns(t.name if t.isTemporary else f"{database}.{t.name}")])
         for t in spark.catalog.listTables(database, pattern)
     ]
     return spark.createDataFrame(rows, "table_name string, columns array<string>")
