@@ -84,6 +84,11 @@ def test_chains_from_the_start_only(spark):
     got = {tuple(r) for r in op.reachable(frame).collect()}
     assert {(f, o) for f, o in got if o < 370} >= {("f", i * 10) for i in range(37)}
     assert not got & {("f", 55), ("f", 65), ("g", 5)}
+    blocks = frame.selectExpr("file", "offset", "next", "int(offset / 60) * 60 AS block")
+    longs = blocks.selectExpr("xxhash64(file) AS file", "bigint(block) AS block", "offset", "next")
+    names = {r.h: r.file for r in frame.selectExpr("file", "xxhash64(file) AS h").distinct().collect()}
+    chain = {(names[f], o) for f, o in op.on_chain(longs).collect()}
+    assert chain == {("f", i * 10) for i in range(37)} | {("h", 0)}
 
 
 def test_base32(spark):

@@ -8,7 +8,8 @@ Reading cuts the files at every ``WARC/1.0`` line, wherever the splits of a file
 cut is a candidate record; its Content-Length gives the offset of its successor.  Offsets are
 prefix sums of the pieces' lengths, first within a split, then over the splits.  A payload may
 hold the magic line itself, so only candidates that can be reached from the start of their
-file are records: pointer jumping doubles the steps of a chain in every round.  Payloads cut
+file are records: tasks follow the chains within a split, and pointer jumping from split to
+split doubles the steps of a chain in every round.  Payloads cut
 by a rejected candidate are put together again.
 
 Defined cases: a null html is an empty payload.  Rows that tie in the largest page_id of
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -166,11 +168,52 @@ def reachable(steps: DataFrame) -> DataFrame:
     return known
 
 
+def _exits(table: pa.Table) -> pa.Table:
+    """Where the chain from each candidate of a split leaves the split."""
+    offsets, nexts = table["offset"].to_pylist(), table["next"].to_pylist()
+    leaves: dict[int, int] = {}
+    for offset, after in sorted(zip(offsets, nexts), reverse=True):
+        leaves[offset] = leaves.get(after, after)
+    return pa.table({
+        "file": table["file"], "block": table["block"], "offset": table["offset"],
+        "next": pa.array([leaves[offset] for offset in offsets], type=pa.int64()),
+    })
+
+
+def _walk(table: pa.Table) -> pa.Table:
+    """The candidates of a split on the chains from its entries."""
+    step = dict(zip(table["offset"].to_pylist(), table["next"].to_pylist()))
+    reached = set()
+    for offset, entry in zip(table["offset"].to_pylist(), table["entry"].to_pylist()):
+        while entry and offset in step and offset not in reached:
+            reached.add(offset)
+            offset = step[offset]
+    return pa.table({
+        "file": pa.array([table["file"][0].as_py()] * len(reached), type=pa.int64()),
+        "offset": pa.array(sorted(reached), type=pa.int64()),
+    })
+
+
+def on_chain(found: DataFrame) -> DataFrame:
+    """(file, offset) of the candidates that are records: each split's chains are followed
+    within the split, pointers jump from split to split, and the splits' entries that the
+    file's start reaches are followed once more."""
+    steps = written(found.where("next > offset").select("file", "block", "offset", "next"))
+    exits = written(steps.groupBy("file", "block").applyInArrow(_exits, "file long, block long, offset long, next long"))
+    starts = steps.where("offset = 0").select("file", "offset")
+    entries = exits.select("file", F.col("next").alias("offset")).union(starts).distinct()
+    known = reachable(exits.join(entries, ["file", "offset"], "left_semi"))
+    marked = steps.join(known.withColumn("entry", F.lit(True)), ["file", "offset"], "left")
+    return marked.withColumn("entry", F.coalesce("entry", F.lit(False))).groupBy("file", "block").applyInArrow(
+        _walk, "file long, offset long"
+    )
+
+
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """One row per record: id, type, refers, payload_bytes and payload_digest.  Of a response
     both are computed from what was read, of a revisit taken from its headers."""
     found = candidates(spark, path)
-    kept = found.join(reachable(found), ["file", "offset"])
+    kept = found.join(on_chain(found), ["file", "offset"])
     simple = kept.where("whole")
     split = written(kept.where("NOT whole").select("file", "offset", "next", "id", "type", "refers", "said_digest"))
     columns = ["id", "type", "refers", "said_digest", "payload_bytes", "payload_digest"]
