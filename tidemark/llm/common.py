@@ -110,16 +110,29 @@ def fresh(df: DataFrame, name: str) -> str:
 
 def keep_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose :func:`row_key` is in ``keys`` (one column ``row_key``), one
-    row per key.  Texts move once, to the partition of their key."""
+    row per key.  Texts move once, to the partition of their key; repeated rows are dropped
+    by each map task before that."""
     key = fresh(docs, "row_key")
     return (
         docs.withColumn(key, row_key())
-        .join(keys.select(F.col("row_key").alias(key)), key, "left_semi")
         .dropDuplicates([key])
+        .join(keys.select(F.col("row_key").alias(key)), key, "left_semi")
         .select(*docs.columns)
     )
 
 
+def uniform(hashed: Column) -> Column:
+    """A 64-bit hash as a number from 0 to 1."""
+    return hashed.cast("double") / 2.0**64 + 0.5
+
+
+def hash_sample(df: DataFrame, total: int, most: int, hashed: Column) -> DataFrame:
+    """``most`` rows with the smallest hashes, of ``total``: tasks drop what cannot be among
+    them before anything is put in one place."""
+    likely = uniform(hashed) < F.lit(1.5 * most / max(total, 1))
+    return df.where(likely).orderBy(hashed).limit(most)
+
+
 def shingle_hashes(words: list[bytes], size: int, seed: int = 42) -> np.ndarray | None:
     """XXH64 of every ``size`` words joined by spaces; None if there are fewer words."""
     if len(words) < size:

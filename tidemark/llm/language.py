@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_columns, query, read, utf8, written
+from tidemark.llm.common import map_columns, query, read, uniform, utf8, written
 from tidemark.llm.url_rules import url_host
 
 GRAM_BITS = 16
@@ -59,8 +59,11 @@ def train(docs: DataFrame, per_language: int = 400) -> tuple[list[str], np.ndarr
     """The languages and, per language, the log probability of each trigram."""
     chosen = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")))
     labelled = docs.select("doc_id", "lang", "text").where("lang IS NOT NULL AND lang <> '' AND doc_id IS NOT NULL")
-    # The ids first, so that only chosen texts are counted: per_language rows of each language.
-    ids = labelled.select("doc_id", "lang").withColumn(
+    # The ids first, so that only chosen texts are counted: per_language rows of each language,
+    # those with the smallest hashes.  Tasks drop what is not likely to be among them.
+    sizes = labelled.groupBy("lang").agg(F.count("*").alias("size"))
+    likely = uniform(F.xxhash64("doc_id")) < (2 * per_language + 100) / F.col("size")
+    ids = labelled.select("doc_id", "lang").join(sizes, "lang").where(likely).withColumn(
         "nth", F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
     ).where(F.col("nth") <= per_language).select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct()
     texts = labelled.join(

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_columns, query, read, written
+from tidemark.llm.common import hash_sample, map_columns, query, read, written
 
 DIMENSIONS = 8
 SURE = 0.97
@@ -214,7 +214,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, sure: float = S
     if not total:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     shards = min(SHARDS_MOST, max(1, total // SHARD))
-    taken = index.orderBy(F.xxhash64("vector")).limit(min(SAMPLE, 64 * shards)).select("vector").collect()
+    taken = hash_sample(index, total, min(SAMPLE, 64 * shards), F.xxhash64("vector")).select("vector").collect()
+    taken = taken or index.select("vector").limit(1).collect()
     width = len(taken[0]["vector"])
     near = projection(width)
     tree = grow(np.array([row["vector"] for row in taken]) @ near, math.ceil(math.log2(shards)))

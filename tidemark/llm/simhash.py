@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import keep_rows, map_columns, query, read, row_key, shingle_hashes, utf8, written
+from tidemark.llm.common import hash_sample, keep_rows, map_columns, query, read, row_key, shingle_hashes, utf8, written
 from tidemark.llm.components import components
 
 SEED, BITS = 42, 64
@@ -176,9 +176,10 @@ def link(points: np.ndarray, rows: np.ndarray, home: np.ndarray, radius: int, fo
 def links(distinct: DataFrame, radius: int = 2, shard: int = SHARD) -> DataFrame:
     """Links (a, b) that connect all distinct fingerprints within ``radius`` bits."""
     spark = distinct.sparkSession
-    shards = max(1, math.ceil(distinct.count() / shard))
+    total = distinct.count()
+    shards = max(1, math.ceil(total / shard))
     taken = min(SAMPLE_MOST, SAMPLE_PER_SHARD * shards)
-    sample = distinct.orderBy(F.xxhash64("fingerprint", F.lit("vantage"))).limit(taken).collect()
+    sample = hash_sample(distinct, total, taken, F.xxhash64("fingerprint", F.lit("vantage"))).collect()
     points = np.array(sorted(r[0] for r in sample), dtype=np.int64).view(np.uint64)
     # Sample points that stand for DENSE_SHARDS shards, of all that there are.
     most = DENSE_SHARDS * max(32, len(points) // shards)
@@ -240,7 +241,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataF
         F.coalesce("root", "fingerprint").alias("root"),
         F.when(F.col("root").isNull(), F.col("first")).otherwise(F.col("smallest")).alias("component_id"),
     )
-    return marked.join(named, "fingerprint")
+    # Written, so that the join can split the partition of a fingerprint that many rows have.
+    return marked.join(written(named), "fingerprint")
 
 
 def simhash_dedup(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:

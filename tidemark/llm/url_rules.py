@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import lower_ascii, query, read
+from tidemark.llm.common import lower_ascii, query, read, written
 
 SLICE = 1024  # points of a group swept together, unless it has more intervals than that
 
@@ -55,9 +55,10 @@ def enclosing(points: DataFrame, intervals: DataFrame, top_only: bool = False) -
     """
     sizes = intervals.groupBy("group").agg(F.count("*").alias("n"))
     counts = points.groupBy("group").agg(F.count("*").alias("points"))
-    slices = sizes.join(counts, "group").select(
+    # Written, so that the joins with it can split the partition of a large group.
+    slices = written(sizes.join(counts, "group").select(
         "group", F.ceil(F.col("points") / F.greatest(F.lit(SLICE), F.col("n"))).alias("slices")
-    )
+    ))
     spread = points.join(slices, "group").withColumn("slice", F.pmod(F.xxhash64("key", "point"), F.col("slices")))
     copied = intervals.join(slices, "group").withColumn(
         "slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))
@@ -147,7 +148,7 @@ def judge(urls: DataFrame, rules: DataFrame, default: str = "allow") -> DataFram
         )
         .select("host", "path", "best.rule", "best.verdict")
     )
-    return parsed.join(best, ["host", "path"], "left").select(
+    return parsed.join(written(best), ["host", "path"], "left").select(
         *urls.columns, "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict")
     )
 
