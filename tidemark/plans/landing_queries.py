@@ -320,6 +320,26 @@ def publish_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, copies)
 
 
+@query("empty_extract_kept", "SELECT * FROM supplier")
+def empty_extract_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that an empty extract and a failing check were meant to replace, read back."""
+    lake = Lake(spark, _run_folder(spark, "kept"))
+    lake.create_layers()
+    suppliers = read(spark, sf_dir, "supplier")
+    lake.write("gold", "supplier", suppliers, allow_empty=False)
+
+    def refuse(table: DataFrame) -> None:
+        raise publish.PublishError(f"{table.count()} rows are not wanted")
+
+    refused = 0
+    for extract, check in ((suppliers.limit(0), None), (suppliers.unionAll(suppliers), refuse)):
+        try:
+            lake.write("gold", "supplier", extract, allow_empty=False, check=check)
+        except (publish.EmptyExtract, publish.PublishError):
+            refused += 1
+    return lake.read("gold", "supplier").filter(F.lit(refused) == 2)
+
+
 @query("preview", "SELECT * FROM events ORDER BY event_id LIMIT 100")
 def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "events").orderBy("event_id").limit(100)

@@ -206,6 +206,30 @@ def period_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_all({s.table: items for s in sources}, spec, sources)
 
 
+@query(
+    "absent_sources",
+    """
+    SELECT l_orderkey, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS etd,
+           CASE WHEN l_shipdate < DATE '1996-01-01' THEN '1995' ELSE '1998_Q4' END AS _source_period
+    FROM lineitem
+    WHERE l_shipdate < DATE '1996-01-01'
+       OR (l_shipdate >= DATE '1998-01-01' AND l_shipdate < DATE '1999-01-01')
+    """,
+)
+def absent_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources whose table does not exist are left out; those that exist hold all line items."""
+    spec = TableSpec(
+        columns=(
+            ColumnSpec("l_orderkey", "bigint", ("l_orderkey",)),
+            ColumnSpec("etd", "date", ("l_shipdate",), is_date=True),
+        ),
+        period_column=PERIOD,
+        window_column="etd",
+    )
+    items = read(spark, sf_dir, "lineitem")
+    return align_all({MAPPED[i].table: items for i in (0, 3)}, spec, MAPPED)
+
+
 @query(
     "legacy_swap",
     """
