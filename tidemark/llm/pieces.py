@@ -40,7 +40,7 @@ MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 SPACE = "▁"
 LETTER = r"[^\W\d_]"
 CHECK_EVERY = 256
-MEMORY, PAIRS = 800_000, 1 << 20  # stretches and pairs of pieces a task remembers
+MEMORY, PAIRS = 200_000, 300_000  # stretches and pairs of pieces a worker remembers
 
 
 @dataclass
