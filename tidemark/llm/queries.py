@@ -8,6 +8,7 @@ from tidemark.llm import (  # noqa: F401
     passages,
     pieces,
     quality,
+    secret_scan,
     simhash,
     url_rules,
     warc,
