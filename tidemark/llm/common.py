@@ -58,6 +58,7 @@ ARROW = {
     "boolean": pa.bool_(), "int": pa.int32(), "long": pa.int64(), "double": pa.float64(),
     "string": pa.string(), "binary": pa.binary(),
     "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64()), "array<double>": pa.list_(pa.float64()),
+    "array<string>": pa.list_(pa.string()),
 }
 
 

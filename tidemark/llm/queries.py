@@ -11,6 +11,7 @@ from tidemark.llm import (  # noqa: F401
     secret_scan,
     simhash,
     url_rules,
+    vector_codes,
     warc,
 )
 from tidemark.llm.common import ORACLE, QUERIES
