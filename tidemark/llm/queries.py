@@ -1,6 +1,7 @@
 """All registered queries of this subpackage."""
 
 from tidemark.llm import (  # noqa: F401
+    collocations,
     exact_dedup,
     language,
     mixing,
