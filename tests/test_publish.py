@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import publish
-from tidemark.session import EXPANSION, PARTITION_BYTES, build_session, shuffle_partitions, size_shuffles
+from tidemark.session import EXPANSION, PARTITION_BYTES, PARTITIONS_MOST, build_session, shuffle_partitions, size_shuffles
 from tidemark.sources.lake import Lake, catalog_tables, work_folder
 
 
@@ -149,6 +149,7 @@ def test_shuffles_are_sized_by_the_input(spark, folder):
         wanted = max(cores, -(-2 * size * EXPANSION // PARTITION_BYTES))
         assert abs(size_shuffles(session, [folder + "/a", folder + "/a"]) - wanted) <= 1
         assert session.conf.get("spark.sql.shuffle.partitions") == str(wanted)
-        assert shuffle_partitions(100 * 10**12, 1000) > 700_000
+        assert shuffle_partitions(10**12, 1000) == 7451
+        assert shuffle_partitions(100 * 10**12 * EXPANSION, 1000) == PARTITIONS_MOST
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -103,6 +103,9 @@ ALIAS_TYPE, ALIAS_QUALIFIER = 2, "UPC"
 BRAND_TABLE = "ITCL"
 CATEGORY_LEVEL, SUB_CATEGORY_LEVEL = 1, 3
 
+# Schema of the ERP base tables.
+ERP_SCHEMA = "MVXJDTA"
+
 # ERP base tables and the columns read from each; company column first.
 ERP_COLUMNS = {
     "MITMAS": [

@@ -8,13 +8,13 @@ column expressions.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -121,6 +121,22 @@ def _in_window(source: Column, data_type: T.DataType, day: Column, spec: SourceS
 
 def align(df: DataFrame, spec: TableSpec, source: SourceSpec) -> DataFrame:
     """One source table as canonical columns, typed, windowed and guarded."""
+
+    def window(raw: Column, data_type: T.DataType, day: Column) -> Column:
+        return _in_window(raw, data_type, day, source)
+
+    windowed = source.start is not None or source.end is not None
+    return _aligned(df, spec, source.table, F.lit(source.period), window if windowed else None)
+
+
+def _aligned(
+    df: DataFrame,
+    spec: TableSpec,
+    table: str,
+    period: Column,
+    in_window: Callable[[Column, T.DataType, Column], Column] | None,
+) -> DataFrame:
+    """``in_window`` gets the window column as it is, its type, and as a parsed day."""
     by_lower = {name.lower(): name for name in df.columns}
     types = {field.name.lower(): field.dataType for field in df.schema}
     legacy = spec.legacy_marker is not None and spec.legacy_marker in by_lower
@@ -130,7 +146,7 @@ def align(df: DataFrame, spec: TableSpec, source: SourceSpec) -> DataFrame:
         candidates = column.legacy if legacy and column.legacy else column.sources
         found = pick(by_lower, candidates)
         if found is None and column.required:
-            raise MissingColumn(f"{source.table}: no column for {column.name} in {candidates}")
+            raise MissingColumn(f"{table}: no column for {column.name} in {candidates}")
         if found is None:
             value = F.lit(None).cast(column.type)
         else:
@@ -138,23 +154,23 @@ def align(df: DataFrame, spec: TableSpec, source: SourceSpec) -> DataFrame:
             present.add(column.name)
         columns.append(value.alias(column.name))
 
-    if source.start is not None or source.end is not None:
+    if in_window is not None:
         window = next(c for c in spec.columns if c.name == spec.window_column)
         found = pick(by_lower, window.sources)
         raw = quoted(by_lower[found])
-        day = parse_date(raw, types[found])
-        df = df.filter(_in_window(raw, types[found], day, source))
+        df = df.filter(in_window(raw, types[found], parse_date(raw, types[found])))
 
     # Dates are parsed once, in this projection; the guards read the parsed columns.
     # A date the source does not have at all guards nothing.
-    parsed = df.select(*columns)
+    parsed = df.select(*columns, period.alias(PERIOD_MARK))
+    period = F.col(PERIOD_MARK)
     guarded = [
         between_dates(F.col(c.name), *(F.col(d) for d in c.spans)).alias(c.name)
         if c.spans and present.issuperset(c.spans)
         else c.name
         for c in spec.columns
     ]
-    return parsed.select(*guarded, F.lit(source.period).alias(spec.period_column))
+    return parsed.select(*guarded, period.alias(spec.period_column))
 
 
 def align_all(
@@ -167,6 +183,85 @@ def align_all(
     return reduce(DataFrame.unionByName, branches)
 
 
+@dataclass(frozen=True)
+class StoredTable:
+    """Where the files of a table are, one folder, and their schema."""
+
+    name: str
+    path: str
+    schema: T.StructType
+
+    @property
+    def folder(self) -> str:
+        return self.path.rstrip("/").rpartition("/")[2]
+
+    @property
+    def layout(self) -> frozenset[tuple[str, str]]:
+        return frozenset((f.name.lower(), f.dataType.simpleString()) for f in self.schema)
+
+
+PERIOD_MARK, START_MARK, END_MARK, FOLDER_MARK = "__period", "__start", "__end", "__folder"
+
+
+def align_stored(
+    spark: SparkSession, tables: Mapping[str, StoredTable], spec: TableSpec, sources: Iterable[SourceSpec]
+) -> DataFrame:
+    """:func:`align_all` with one scan per layout instead of one per table.
+
+    Tables with the same columns and types are read together; period and window of a row
+    come from a join of its file's folder with the list of sources, one row each.  So the
+    plan grows with the layouts, of which there are few, and not with the tables.
+    """
+    layouts: dict[frozenset, list[tuple[SourceSpec, StoredTable]]] = {}
+    for source in sources:
+        if source.table in tables:
+            table = tables[source.table]
+            layouts.setdefault(table.layout, []).append((source, table))
+    if not layouts:
+        raise NoSources("no source table was found")
+    return reduce(DataFrame.unionByName, [_align_layout(spark, spec, m) for m in layouts.values()])
+
+
+def _align_layout(
+    spark: SparkSession, spec: TableSpec, members: list[tuple[SourceSpec, StoredTable]]
+) -> DataFrame:
+    paths = {table.folder: table.path for _, table in members}
+    if len(paths) < len({table.path for _, table in members}):
+        raise ValueError(f"folders of different tables have the same name: {sorted(paths)}")
+    marks = spark.createDataFrame(
+        pa.table({
+            FOLDER_MARK: [table.folder for _, table in members],
+            PERIOD_MARK: [source.period for source, _ in members],
+            START_MARK: pa.array([source.start for source, _ in members], type=pa.date32()),
+            END_MARK: pa.array([source.end for source, _ in members], type=pa.date32()),
+        })
+    )
+    rows = spark.read.schema(members[0][1].schema).parquet(*paths.values())
+    # Paths in metadata are encoded as in an URL.
+    folder = F.url_decode(F.replace(F.element_at(F.split("_metadata.file_path", "/"), -2), F.lit("+"), F.lit("%2B")))
+    # As many rows as sources, which the driver has listed one by one already.
+    marked = rows.withColumn(FOLDER_MARK, folder).join(F.broadcast(marks), FOLDER_MARK)
+
+    # What all windows have in common reaches the scan.
+    starts, ends = [s.start for s, _ in members], [s.end for s, _ in members]
+    whole = SourceSpec(
+        "", "", None if None in starts else min(starts), None if None in ends else max(ends)
+    )
+    windowed = [s.start is not None or s.end is not None for s, _ in members]
+
+    def window(raw: Column, data_type: T.DataType, day: Column) -> Column:
+        typed = isinstance(data_type, (T.DateType, T.TimestampType, T.TimestampNTZType))
+        value, bound = (raw, data_type) if typed else (day, T.DateType())
+        start, end = F.col(START_MARK).cast(bound), F.col(END_MARK).cast(bound)
+        own = (start.isNull() & end.isNull()) | F.coalesce(
+            (start.isNull() | (value >= start)) & (end.isNull() | (value < end)) & value.isNotNull(), F.lit(False)
+        )
+        return own & _in_window(raw, data_type, day, whole) if all(windowed) else own
+
+    name = ", ".join(sorted(table.name for _, table in members))
+    return _aligned(marked, spec, name, F.col(PERIOD_MARK), window if any(windowed) else None)
+
+
 def classify_tables(
     tables: DataFrame,
     required_groups: Iterable[tuple[str, ...]],
@@ -226,6 +321,16 @@ def discover_sources(
             "columns": [[c.lower() for c in df.columns] for df in tables.values()],
         })
     )
+    return listed_sources(listing, spec, skipped, first_period)
+
+
+def listed_sources(
+    listing: DataFrame,
+    spec: TableSpec,
+    skipped: Iterable[str] = (),
+    first_period: tuple[int, int] = fixed.DYNAMIC_START,
+) -> list[SourceSpec]:
+    """:func:`discover_sources` on (table_name, columns) rows."""
     judged = classify_tables(listing, spec.required_groups, skipped, first_period)
     found = judged.filter("is_source").select("year", "quarter", "table_name", "period").collect()
     return [SourceSpec(row.period, row.table_name) for row in sorted(found)]

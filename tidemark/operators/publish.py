@@ -110,12 +110,22 @@ def mark(spark: SparkSession, run: str) -> None:
     """Make a run the current one, and delete those that no reader should be at any more."""
     target, _, name = run.rpartition("/")
     marker = f"{target}/{MARKER}{name}"
-    _file_system(spark, marker).create(_path(spark, marker), False).close()
+    touch(spark, marker)
     for old in _runs(spark, target)[KEPT_RUNS:]:
         discard(spark, f"{target}/{MARKER}{old}")
         discard(spark, f"{target}/{old}")
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file that must not be there yet."""
+    _file_system(spark, path).create(_path(spark, path), False).close()
+
+
+def is_marked(spark: SparkSession, run: str) -> bool:
+    target, _, name = run.rpartition("/")
+    return exists(spark, f"{target}/{MARKER}{name}")
+
+
 def discard(spark: SparkSession, path: str) -> None:
     _file_system(spark, path).delete(_path(spark, path), True)
 
@@ -137,6 +147,17 @@ def publish(
 ) -> int:
     """Full refresh of one table: write, count, check what was written, mark.  Returns the row
     count; if anything raises, readers keep the table they had."""
+    return publish_run(df, target, allow_empty=allow_empty, check=check)[1]
+
+
+def publish_run(
+    df: DataFrame,
+    target: str,
+    *,
+    allow_empty: bool = True,
+    check: Callable[[DataFrame], object] | None = None,
+) -> tuple[str, int]:
+    """:func:`publish`, with the path of the run."""
     spark = df.sparkSession
     run, rows = write_run(df, target)
     try:
@@ -148,26 +169,36 @@ def publish(
     except BaseException:
         drop_run(spark, run)
         raise
-    return rows
+    return run, rows
 
 
 def copy_to_folders(spark: SparkSession, source: str, folders: Iterable[str]) -> dict[str, int]:
-    """Publish a written table under its own name into each folder.
+    """Publish a written table under its own name into each folder, or into none.
 
-    A folder that does not exist is an error: it usually means a mount is missing.
+    First every folder gets its copy, unmarked and checked; only when all copies are
+    complete are they marked, one empty file each.  Whatever is refused before that leaves
+    every folder with the table it had.  A folder that does not exist is an error: it usually
+    means a mount is missing.
     """
     name = source.rstrip("/").rpartition("/")[2]
-    table = read_table(spark, source)
-    expected = table.count()
-
-    def complete(copy: DataFrame) -> None:
-        if (rows := copy.count()) != expected:
-            raise PublishError(f"{name}: {expected} rows expected, {rows} copied")
-
-    published = {}
+    folders = list(dict.fromkeys(folder.rstrip("/") for folder in folders))
     for folder in folders:
         if not is_folder(spark, folder):
             raise FileNotFoundError(f"export folder not found: {folder}")
-        target = f"{folder.rstrip('/')}/{name}"
-        published[target] = publish(table, target, check=complete)
-    return published
+    table = read_table(spark, source)
+    expected = table.count()
+    copies: dict[str, str] = {}
+    try:
+        for folder in folders:
+            target = f"{folder}/{name}"
+            copies[target], rows = write_run(table, target)
+            if rows != expected:
+                raise PublishError(f"{name}: {expected} rows expected, {rows} copied to {folder}")
+        for run in copies.values():
+            mark(spark, run)
+    except BaseException:
+        for run in copies.values():
+            if not is_marked(spark, run):
+                drop_run(spark, run)
+        raise
+    return dict.fromkeys(copies, expected)

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections import Counter
 from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark import fixed_values as fixed
 from tidemark.functions.dates import calendar_columns, days_between
@@ -30,9 +31,12 @@ from tidemark.operators.dedup import keep_latest
 from tidemark.operators.drift import (
     ColumnSpec,
     SourceSpec,
+    StoredTable,
     TableSpec,
     align_all,
+    align_stored,
     discover_sources,
+    listed_sources,
 )
 from tidemark.operators.landing import (
     INSERT_TS,
@@ -47,7 +51,7 @@ from tidemark.operators.landing import (
 from tidemark.operators.reshape import clustered, unpivot
 from tidemark.session import size_shuffles
 from tidemark.sources.files import NoMatchingFiles, read_phases, select_files
-from tidemark.sources.lake import Lake, work_folder
+from tidemark.sources.lake import Lake, Landing, work_folder
 from tidemark.sources.workbook import sheet_headers, workbook_rows
 
 SILVER = "leadtime_data"
@@ -142,7 +146,11 @@ def build_silver(
     The leg key is compared before normalization unless ``normalize_first`` is set, so
     keys that differ only in case or padding stay apart and show in the duplicate report.
     """
-    legs = align_all(tables, spec, sources)
+    return finish_silver(align_all(tables, spec, sources), spec, normalize_first=normalize_first)
+
+
+def finish_silver(legs: DataFrame, spec: TableSpec = LEG_TABLE, *, normalize_first: bool = False) -> DataFrame:
+    """Aligned legs to Silver."""
     if normalize_first:
         legs = keep_latest(normalize(legs), fixed.LEG_KEY, INSERT_TS, SOURCE_FILE)
     else:
@@ -288,6 +296,7 @@ def load_bronze(
     """
     spark = lake.spark
     failures: list[Exception | str] = []
+    landings: list[Landing] = []
     selected, seen = [], set()
     for task in tasks:
         try:
@@ -302,11 +311,10 @@ def load_bronze(
             files = files.filter(~F.col("path").isin(*again))
         seen |= paths
         selected.append(workbook_rows(files))
-    landed: list[str] = []
     if selected:
         staged = f"{work_folder(spark)}/{run_ts:%Y%m%dT%H%M%S}_{uuid.uuid4().hex}"
         try:
-            landed, problems = _land_tabs(lake, reduce(DataFrame.union, selected), staged, run_ts, parallel_tabs)
+            landings, problems = _land_tabs(lake, reduce(DataFrame.union, selected), staged, run_ts, parallel_tabs)
             failures += problems
         finally:
             publish.discard(spark, staged)
@@ -314,14 +322,48 @@ def load_bronze(
         raise failures[0]
     if failures:
         raise LoadFailed("; ".join(map(str, failures)))
-    return sorted(landed)
+    return sorted(landing.table_name for landing in landings)
+
+
+# What became of the tabs of a load: a row per tab, with a reason where it was refused.
+TAB_LOG = "landing_log"
+TAB_LOG_SCHEMA = (
+    "run_ts timestamp, path string, file_name string, tab string, table_name string, rows bigint, "
+    "width int, first_row array<string>, reason string"
+)
+
+
+def judge_tabs(decoded: DataFrame) -> DataFrame:
+    """A row per (path, tab) of decoded workbook rows: its table, its data rows, its width and
+    first row, and why it cannot be landed, NULL if it can.
+
+    One aggregate over the decoded rows; a workbook with one unreadable tab is refused as a
+    whole, and so are tabs whose tables would have the same name.
+    """
+    tabs = decoded.groupBy("table", "path", "file_name", "tab").agg(
+        F.count_if((F.col("row_no") > 1) & F.col("error").isNull()).alias("rows"),
+        F.max(F.size("cells")).alias("width"),
+        F.max(F.when(F.col("row_no") == 1, F.col("cells"))).alias("first_row"),
+        F.max("error").alias("error"),
+    )
+    by_file = Window.partitionBy("path")
+    file_error = F.max("error").over(by_file)
+    readable = F.count_if(F.col("file_error").isNull()).over(Window.partitionBy("table"))
+    reason = F.coalesce(
+        F.col("error"),
+        F.when(F.col("file_error").isNotNull(), F.lit("its workbook is not readable")),
+        F.when(readable > 1, F.concat(F.lit("several tabs land as "), "table")),
+    )
+    return tabs.withColumn("file_error", file_error).withColumn("reason", reason).select(
+        "path", "file_name", "tab", F.col("table").alias("table_name"), "rows", "width", "first_row", "reason"
+    )
 
 
 def _land_tabs(
     lake: Lake, decoded: DataFrame, staged: str, run_ts: datetime, parallel_tabs: int
-) -> tuple[list[str], list[str]]:
-    """Tables landed, and what failed.  One job decodes, one lists the tabs, then each tab is
-    written on its own."""
+) -> tuple[list[Landing], list[str]]:
+    """Tables landed, and what failed.  One job decodes, one judges the tabs, then each good
+    tab is written on its own; manifest and landing log get their rows at the end."""
     spark = lake.spark
     file_name = F.substring_index("path", "/", -1)
     stem = F.regexp_replace(file_name, r"\.[^.]*$", "")
@@ -330,50 +372,105 @@ def _land_tabs(
     )
     rows.write.partitionBy("table").parquet(staged)
     decoded = spark.read.schema(rows.schema).parquet(staged)
-    tabs = (
-        decoded.groupBy("table", "path", "file_name", "tab")
-        .agg(
-            F.max(F.size("cells")).alias("width"),
-            F.max(F.when(F.col("row_no") == 1, F.col("cells"))).alias("first_row"),
-            F.max("error").alias("error"),
-        )
-        .collect()
-    )
-    failures = [f"{tab.file_name}: {tab.error}" for tab in tabs if tab.error is not None]
-    bad_files = {tab.path for tab in tabs if tab.error is not None}
-    wanted = sorted((t for t in tabs if t.path not in bad_files), key=lambda t: (t.table, t.path))
-    uses = Counter(t.table for t in wanted)
-    failures += [f"several tabs land as {name}" for name, n in uses.items() if n > 1]
+    judged = f"{staged}/_judged"
+    judge_tabs(decoded).write.parquet(judged)
+    tabs = spark.read.parquet(judged)
+    good = sorted(tabs.filter("reason IS NULL").collect(), key=lambda t: (t.table_name, t.path))
 
-    def land(tab) -> str | None:
+    def land(tab) -> Landing | str:
         part = decoded.filter(
-            (F.col("table") == tab.table) & (F.col("path") == tab.path) & (F.col("tab") == tab.tab)
+            (F.col("table") == tab.table_name) & (F.col("path") == tab.path) & (F.col("tab") == tab.tab)
         )
         try:
             headers = sheet_headers(tab.first_row or [], tab.width)
             table = land_tab(part, headers, tab.file_name, tab.tab)
-            lake.write("bronze", tab.table, stamp(table, run_ts, tab.file_name))
+            return lake.land("bronze", tab.table_name, stamp(table, run_ts, tab.file_name), run_ts)
         except Exception as problem:
-            return f"{tab.file_name} / {tab.tab}: {problem}"
-        return None
+            return str(problem)
 
-    single = [t for t in wanted if uses[t.table] == 1]
     with ThreadPoolExecutor(parallel_tabs) as pool:
-        problems = list(pool.map(land, single))
-    landed = [tab.table for tab, problem in zip(single, problems) if problem is None]
-    return landed, failures + [problem for problem in problems if problem]
+        results = list(pool.map(land, good))
+    landings = [result for result in results if isinstance(result, Landing)]
+    lake.record(landings)
+    late = spark.createDataFrame(
+        [(tab.path, tab.tab, result) for tab, result in zip(good, results) if isinstance(result, str)],
+        "path string, tab string, late string",
+    )
+    logged = tabs.join(F.broadcast(late), ["path", "tab"], "left").withColumns({  # one row per bad tab
+        "run_ts": F.lit(run_ts).cast("timestamp"), "reason": F.coalesce("reason", "late")
+    })
+    lake.append(TAB_LOG, logged.select(*StructType.fromDDL(TAB_LOG_SCHEMA).names))
+    refused = lake.log(TAB_LOG, TAB_LOG_SCHEMA).filter(
+        (F.col("run_ts") == F.lit(run_ts).cast("timestamp")) & F.col("reason").isNotNull()
+    )
+    # One aggregate: a line for each reason, tabs of one reason together.
+    told = F.when(
+        F.col("reason").startswith("several tabs land as "), F.col("reason")
+    ).otherwise(F.concat_ws(" / ", "file_name", "tab"))
+    lines = refused.filter("reason <> 'its workbook is not readable'").select(
+        F.when(told == F.col("reason"), told).otherwise(F.concat_ws(": ", told, "reason")).alias("line")
+    ).distinct()
+    return landings, sorted(row.line for row in lines.collect())
 
 
-def bronze_sources(lake: Lake, skipped: Iterable[str] = ()) -> tuple[dict[str, DataFrame], list[SourceSpec]]:
-    """Bronze lead-time tables and the sources found among them."""
-    tables = {t: lake.read("bronze", t) for t in lake.tables("bronze", fixed.TABLE_KEYWORD)}
-    return tables, all_sources(tables, skipped=skipped)
+def bronze_sources(
+    lake: Lake,
+    skipped: Iterable[str] = (),
+    historical: Sequence[SourceSpec] = tuple(HISTORICAL),
+    first_period: tuple[int, int] = fixed.DYNAMIC_START,
+    spec: TableSpec = LEG_TABLE,
+) -> tuple[dict[str, StoredTable], list[SourceSpec]]:
+    """The Bronze tables that are sources and what they are sources of, read from the
+    manifest; only the rows of these tables reach the driver."""
+    lake.record_missing("bronze", datetime.now(timezone.utc))
+    listing = lake.manifest("bronze")
+    found = listed_sources(listing, spec, skipped, first_period)
+    wanted = {s.table: s for s in (*historical, *found)}
+    rows = listing.filter(F.col("table_name").isin(*wanted)).select("table_name", "run", "schema").collect()
+    tables = {
+        row.table_name: StoredTable(row.table_name, row.run, StructType.fromJson(json.loads(row.schema)))
+        for row in rows
+    }
+    return tables, [s for s in historical if s.table in tables] + found
 
 
 def included_sources(lake: Lake, skipped: Iterable[str] = ()) -> DataFrame:
     return source_report(lake.spark, bronze_sources(lake, skipped)[1])
 
 
+# What each source gave to a Silver run.
+SOURCE_LOG = "silver_log"
+SOURCE_LOG_SCHEMA = (
+    "run_ts timestamp, period string, table_name string, first_day date, end_day date, "
+    "landed_rows bigint, kept_rows bigint"
+)
+
+
+def source_log(
+    listing: DataFrame, silver: DataFrame, sources: Sequence[SourceSpec], run_ts: datetime
+) -> DataFrame:
+    """A row per included source: its window, the rows of its table (``listing`` has
+    table_name and rows), and the rows of Silver that came from it.
+
+    Rows are counted in what was written, so a task that ran twice counts once.  Where
+    several tables have one period, the first has its rows, so that the sum is right.
+    """
+    spark = silver.sparkSession
+    kept = silver.groupBy(F.col(PERIOD).alias("period")).agg(F.count("*").alias("kept_rows"))
+    order = {s.period: i for i, s in reversed(list(enumerate(sources)))}
+    included = source_report(spark, sources).withColumn(
+        "first", F.col("table_name").isin(*[sources[i].table for i in order.values()])
+    )
+    rows = listing.select("table_name", F.col("rows").alias("landed_rows"))
+    return (
+        included.join(rows, "table_name", "left").join(kept, "period", "left")
+        .select(
+            F.lit(run_ts).cast("timestamp").alias("run_ts"), "period", "table_name", "first_day", "end_day",
+            "landed_rows", F.when(F.col("first"), F.coalesce("kept_rows", F.lit(0))).otherwise(F.lit(0)).alias("kept_rows"),
+        )
+    )
+
+
 def run_leadtime(
     lake: Lake,
     tasks: Iterable[FetchTask],
@@ -392,12 +489,16 @@ def run_leadtime(
     load_bronze(lake, tasks, run_ts)
 
     tables, sources = bronze_sources(lake, skipped)
-    size_shuffles(spark, [lake.path("bronze", s.table) for s in sources])
-    silver = clustered(build_silver(tables, sources), "etd", *fixed.LEG_KEY)
+    size_shuffles(spark, [tables[s.table].path for s in sources])
+    legs = align_stored(spark, tables, LEG_TABLE, sources)
+    silver = clustered(finish_silver(legs), "etd", *fixed.LEG_KEY)
     rows = lake.write(
         "silver", SILVER, silver,
         check=lambda table: quality.enforce(quality.null_gate(table, "etd"), "Silver etd"),
     )
 
-    gold = build_gold(lake.read("silver", SILVER), phases_path)
+    written = lake.read("silver", SILVER)
+    lake.append(SOURCE_LOG, source_log(lake.manifest("bronze"), written, sources, run_ts))
+
+    gold = build_gold(written, phases_path)
     return {SILVER: rows} | {name: lake.write("gold", name, df) for name, df in gold.items()}

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import replace
 from functools import reduce
 
@@ -17,7 +16,7 @@ from tidemark.operators.dedup import keep_latest
 from tidemark.operators.drift import ColumnSpec, SourceSpec, TableSpec, align_all
 from tidemark.operators.joins import Lookup, left_lookups
 from tidemark.operators.landing import INSERT_TS, SOURCE_FILE
-from tidemark.operators.publish import discard
+from tidemark.operators.publish import discard, exists
 from tidemark.plans.inputs import FIRST_PERIOD, MAPPED, bronze_legs, order_legs, read, read_spread
 from tidemark.plans.leadtime import (
     LEG_TABLE,
@@ -119,18 +118,25 @@ for guarded, plain in (
         raise ValueError(f"not once in the SQL: {guarded}")
     STATIC_LEGS = STATIC_LEGS.replace(guarded, plain)
 
-LEG_NAMES = [*LEG_TABLE.names, PERIOD]
-DATES = [c.name for c in LEG_TABLE.columns if c.is_date]
+# Written out, so that a wrong name or order in the specification shows.
+LEG_NAMES = (
+    "wh asn folio div container_size vessel b_l port container min_req_delivery_date max_req_delivery_date "
+    "xfty_range xfty_to_container_consolidation pos_consolidation_to_gate_in gate_in gate_in_to_etd etd "
+    "etd_to_eta current_eta_port eta_to_delivery p_u delivery_to_received asn_receive max_xft_to_received "
+    "min_xft_to_received avg_xfty_to_received customer region asn_qty _bronze_insert_ts _source_file_name "
+    "_source_period"
+).split()
+DATES = "min_req_delivery_date max_req_delivery_date gate_in etd current_eta_port p_u asn_receive".split()
 SHOWN = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" if c in DATES else c for c in LEG_NAMES)
 CODES = ["wh", "div", "container_size", "customer", "region"]
 
-TIES = [c for c in LEG_NAMES if c not in fixed.LEG_KEY]
 KEPT = f"""
     ranked AS (
         SELECT *, row_number() OVER (
-            PARTITION BY {', '.join(fixed.LEG_KEY)}
+            PARTITION BY wh, asn, folio, b_l, container, etd
             ORDER BY _bronze_insert_ts DESC NULLS LAST, _source_file_name NULLS LAST,
-                     {', '.join(f'{c} NULLS LAST' for c in TIES)}) AS rn
+                     {', '.join(f'{c} NULLS LAST' for c in LEG_NAMES
+                                if c not in ('wh', 'asn', 'folio', 'b_l', 'container', 'etd'))}) AS rn
         FROM legs
     ),
     silver AS (
@@ -455,7 +461,8 @@ LONG_COLUMNS = """
     "Phase", "Value\""""
 
 KEY = " || '|' || ".join(
-    f"ifnull(CAST(\"{name}\" AS VARCHAR), '<NULL>')" for name in fixed.FACT_KEY
+    f"ifnull(CAST(\"{name}\" AS VARCHAR), '<NULL>')"
+    for name in ("ASN RECEIVE", "ASN#", "Folio", "COUNTRY", "Phase", "Port", "WH")
 )
 
 
@@ -568,6 +575,15 @@ def _wide_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _phases_path(spark: SparkSession) -> str:
+    """The phase master as a CSV, written once per application."""
+    path = f"{work_folder(spark)}/phases_{spark.sparkContext.applicationId}"
+    if not exists(spark, f"{path}/_SUCCESS"):
+        discard(spark, path)
+        write_phases(spark, path)
+    return path
+
+
 @query(
     "dim_phase",
     """
@@ -622,13 +638,8 @@ def dim_phase(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.sum(F.ascii("fact_row_key")).alias("key_sum"),
         )
     )
-    path = f"{work_folder(spark)}/phases_{uuid.uuid4().hex}"
-    try:
-        write_phases(spark, path)
-        # A master kept by hand, nine rows.
-        phases = spark.createDataFrame(read_phases(spark, path).collect(), fixed.PHASE_SCHEMA)
-    finally:
-        discard(spark, path)
+    # A master kept by hand, nine rows.
+    phases = spark.createDataFrame(read_phases(spark, _phases_path(spark)).collect(), fixed.PHASE_SCHEMA)
     return phases.join(per_phase, "Phase").orderBy("phase_order")
 
 

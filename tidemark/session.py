@@ -7,12 +7,14 @@ from collections.abc import Iterable
 from pyspark.sql import SparkSession
 
 PARTITION_BYTES = 128 * 1024 * 1024
+# The driver keeps a size per map task and partition: beyond this partitions grow, and spill.
+PARTITIONS_MOST = 32_768
 
 
 def shuffle_partitions(input_bytes: int, cores: int) -> int:
-    """Partitions for a shuffle of about ``input_bytes``: 128 MB each, and no fewer than
-    the cores.  Adaptive execution merges what turns out to be small."""
-    return max(cores, -(-input_bytes // PARTITION_BYTES))
+    """Partitions for a shuffle of about ``input_bytes``: 128 MB each, no fewer than the cores
+    and at most PARTITIONS_MOST.  Adaptive execution merges what turns out to be small."""
+    return min(PARTITIONS_MOST, max(cores, -(-input_bytes // PARTITION_BYTES)))
 
 
 # Parquet is smaller than the rows that are shuffled from it.

@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import fixed_values as fixed
+from tidemark.operators.landing import quoted
 from tidemark.operators.publish import is_folder
 
+BAD_RECORD = "__bad_record"
+
+
+class BadMaster(ValueError):
+    """The header of a CSV master lacks a column or has one twice."""
+
 
 class NoMatchingFiles(FileNotFoundError):
     """A fetch task selects nothing, which would leave the run on stale tables."""
@@ -42,10 +50,52 @@ def file_manifest(
     )
 
 
+def read_master(spark: SparkSession, path: str, schema: str, *, multi_line: bool = False) -> DataFrame:
+    """A CSV file (or folder of files) with a header, as the columns of ``schema``.
+
+    Columns are found by their names in the header, in any case and order; others are left
+    out.  A name that is missing or comes twice is an error at once.  A cell that is not of
+    its column's type, a line with too few or too many cells, and a file of the folder whose
+    header differs from the first one's are errors when rows are read, whichever columns are
+    used; the message has the file and the line.  Empty cells are NULL.  ``multi_line``
+    allows line ends in quotes.
+    """
+    wanted = T.StructType.fromDDL(schema)
+    reader = spark.read.options(header=True, multiLine=multi_line, escape='"')
+    header = reader.option("inferSchema", False).csv(path).columns
+    places: dict[str, list[str]] = {}
+    for name in header:
+        places.setdefault(name.strip().lower(), []).append(name)
+    for field in wanted:
+        # Spark numbers repeated names, so a name that comes twice is found without its number.
+        repeated = [n for n in header if n.lower().removeprefix(field.name.lower()).isdigit()]
+        if field.name.lower() not in places:
+            problem = "comes more than once" if len(repeated) > 1 else "is missing"
+            raise BadMaster(f"{path}: column {field.name} {problem} in the header {header}")
+    types = {places[field.name.lower()][0]: field.dataType for field in wanted}
+    typed = T.StructType(
+        [T.StructField(name, types.get(name, T.StringType())) for name in header]
+        + [T.StructField(BAD_RECORD, T.StringType())]
+    )
+    rows = (
+        reader.schema(typed)
+        .options(enforceSchema=False, mode="PERMISSIVE", columnNameOfCorruptRecord=BAD_RECORD)
+        .csv(path)
+    )
+    # All columns are named, so that all are parsed whatever the query reads.
+    seen = F.to_json(F.struct(*[quoted(name) for name in types]))
+    message = F.concat(
+        F.lit("bad line in "), F.col("_metadata.file_name"), F.lit(": "), quoted(BAD_RECORD), F.lit(", read as "), seen
+    )
+    good = F.when(quoted(BAD_RECORD).isNull(), True).otherwise(F.raise_error(message).cast("boolean"))
+    return rows.filter(good).select(
+        *[quoted(places[field.name.lower()][0]).alias(field.name) for field in wanted]
+    )
+
+
 def read_phases(spark: SparkSession, path: str) -> DataFrame:
     """The phase master, in business order."""
-    reader = spark.read.schema(fixed.PHASE_SCHEMA).option("header", True)
-    return reader.csv(path).orderBy(F.col("phase_order").asc_nulls_last())
+    return read_master(spark, path, fixed.PHASE_SCHEMA).orderBy(F.col("phase_order").asc_nulls_last())
 
 
 def write_phases(spark: SparkSession, path: str) -> None:

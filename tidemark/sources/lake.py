@@ -1,17 +1,45 @@
-"""The layered lake: one folder of published runs per table under a folder per layer."""
+"""The layered lake: one folder of published runs per table under a folder per layer.
+
+Beside the layers lie logs, tables that are only ever appended to.  The manifest is one: each
+landing adds a row per table with its columns, schema, run and rows, so that tables can be
+found and read without opening their files.
+"""
 
 from __future__ import annotations
 
 import atexit
 import tempfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from dataclasses import astuple, dataclass
+from datetime import datetime
 from functools import cache
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.operators import publish
 
 LAYERS = ("bronze", "silver", "gold")
+MANIFEST = "manifest"
+MANIFEST_SCHEMA = (
+    "layer string, table_name string, columns array<string>, types array<string>, schema string, "
+    "run string, rows bigint, landed_at timestamp"
+)
+
+
+@dataclass(frozen=True)
+class Landing:
+    """A row of the manifest: a table as one run has it."""
+
+    layer: str
+    table_name: str
+    columns: list[str]
+    types: list[str]
+    schema: str
+    run: str
+    rows: int | None
+    landed_at: datetime
 
 
 class Lake:
@@ -41,6 +69,59 @@ class Lake:
     ) -> int:
         return publish.publish(df, self.path(layer, table), allow_empty=allow_empty, check=check)
 
+    def land(self, layer: str, table: str, df: DataFrame, landed_at: datetime) -> Landing:
+        """Write a table and return its row for the manifest (see :meth:`record`)."""
+        run, rows = publish.publish_run(df, self.path(layer, table))
+        return self._landing(layer, table, run, df, rows, landed_at)
+
+    def _landing(
+        self, layer: str, table: str, run: str, df: DataFrame, rows: int | None, landed_at: datetime
+    ) -> Landing:
+        columns = [field.name.lower() for field in df.schema]
+        types = [field.dataType.simpleString() for field in df.schema]
+        return Landing(layer, table, columns, types, df.schema.json(), run, rows, landed_at)
+
+    def record(self, landings: Iterable[Landing]) -> None:
+        """Append rows to the manifest."""
+        self.append(MANIFEST, self.spark.createDataFrame([astuple(x) for x in landings], MANIFEST_SCHEMA))
+
+    def record_missing(self, layer: str, landed_at: datetime) -> list[str]:
+        """Add the tables of a layer that the manifest does not know, by reading their schemas;
+        returns their names.  There are none if all landings were recorded."""
+        known = self.manifest(layer).select("table_name")
+        names = self._names(layer).join(known, "table_name", "left_anti")
+        missing = sorted(row["table_name"] for row in names.collect())
+        found = [(name, publish.current(self.spark, self.path(layer, name))) for name in missing]
+        if found:
+            self.record(
+                self._landing(layer, name, run, self.spark.read.parquet(run), None, landed_at) for name, run in found
+            )
+        return missing
+
+    def _names(self, layer: str) -> DataFrame:
+        return self.spark.createDataFrame(pa.table({"table_name": pa.array(self.tables(layer), type=pa.string())}))
+
+    def newest(self, layer: str) -> DataFrame:
+        """The newest row of the manifest for each table of a layer."""
+        rows = self.log(MANIFEST, MANIFEST_SCHEMA).filter(F.col("layer") == layer)
+        newest = F.max_by(F.struct(*rows.columns), F.struct("landed_at", "run")).alias("newest")
+        return rows.groupBy("table_name").agg(newest).select("newest.*")
+
+    def manifest(self, layer: str) -> DataFrame:
+        """:meth:`newest` for the tables that are still there."""
+        return self.newest(layer).join(self._names(layer), "table_name", "left_semi")
+
+    def append(self, name: str, df: DataFrame) -> None:
+        """Add rows to a log, a file or a few at a time."""
+        df.coalesce(1).write.mode("append").parquet(f"{self.root}/{name}")
+
+    def log(self, name: str, schema: str) -> DataFrame:
+        """The rows of a log, none if nothing was added yet."""
+        path = f"{self.root}/{name}"
+        if not publish.is_folder(self.spark, path):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(path)
+
     def read(self, layer: str, table: str) -> DataFrame:
         return publish.read_table(self.spark, self.path(layer, table))
 
