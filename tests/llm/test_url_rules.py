@@ -46,6 +46,28 @@ def test_verdicts_match_brute_force(spark, monkeypatch, slice_rows):
     assert found == Counter(judged(u, rules) for u in urls())
 
 
+def test_a_hot_suffix_is_swept_in_slices(spark, monkeypatch):
+    """No task gets more than a few slices of a group that holds all hosts."""
+    monkeypatch.setattr(op, "SLICE", 200)
+    hosts = spark.range(8_000).selectExpr(
+        "'com' AS group", "struct(concat(id, '.com') AS host) AS point", "cast(hex(concat(id, 'x')) AS binary) AS key"
+    )
+    rules = spark.range(5).selectExpr(
+        "'com' AS group", "struct(concat(id, '.com') AS host) AS interval", "cast(hex(cast(id AS string)) AS binary) AS key"
+    )
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        found = op.enclosing(hosts, rules)
+        tasks = [n for n in found.rdd.glom().map(len).collect() if n]
+        assert sum(tasks) == found.count() > 2_000
+        assert len(tasks) > 6 and max(tasks) < sum(tasks) / 2
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_block_wins_between_equal_rules_and_the_default_is_the_callers(spark):
     frame = spark.createDataFrame([("http://a.org/x",), ("http://b.net/",)], "url string")
     rules = spark.createDataFrame([("a.org", "/", "allow"), ("A.org", "/", "block")], "host string, path string, verdict string")

@@ -8,8 +8,8 @@ points are sorted by key; a running sum of starts less ends is the height of the
 active intervals, and the latest start at a height is what lies there on the stack.
 
 Points of a group are dealt to slices of bounded size, and the group's intervals to each
-slice, so no host is swept in one task; there are at most as many copies of intervals as
-points.
+slice; events are then shuffled by group and slice, so a host with very many points is swept
+by many tasks.  There are at most as many copies of intervals as points.
 
 Defined cases: an url that is null or has no ``://`` has an empty host and path and meets no
 rule.  Rules without host or path are ignored; of rules with equal host and path ``block``
@@ -78,6 +78,8 @@ def enclosing(points: DataFrame, intervals: DataFrame, top_only: bool = False) -
             )
         )
     )
+    # Otherwise the partitioning of the joins by group would do for the windows.
+    events = events.repartition("group", "slice")
     sweep = W.partitionBy("group", "slice").orderBy("key", "kind")
     height = F.sum("step").over(sweep.rowsBetween(W.unboundedPreceding, 0))
     levels = events.withColumn("height", height).where("step >= 0 AND height > 0")
