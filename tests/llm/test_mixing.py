@@ -67,7 +67,7 @@ def test_slots_follow_the_needs_with_low_discrepancy(spark):
     needed = np.array([500, 0, 3, 1200, 1, 296])
     slots = op.schedule(spark, needed, chunk=128).collect()
     got = defaultdict(list)
-    for rank, slot in slots:
+    for rank, slot, _ in slots:
         got[rank].append(slot)
     assert {r: sorted(s) for r, s in got.items()} == {i: list(range(n)) for i, n in enumerate(needed) if n}
     points = np.arange(2000, dtype=np.uint64) * op.GOLDEN
@@ -75,6 +75,41 @@ def test_slots_follow_the_needs_with_low_discrepancy(spark):
     assert np.abs(np.bincount(counts, minlength=6) - needed).max() <= 6
 
 
+def uneven(slots, needed):
+    """How far any source is from its share in any part of the mix from its start, in slots."""
+    order = [row.rank for row in sorted(slots, key=lambda row: row.position)]
+    assert len({row.position for row in slots}) == len(slots)
+    seen = np.cumsum(np.array(order)[:, None] == np.arange(len(needed)), axis=0)
+    due = np.arange(1, len(order) + 1)[:, None] * needed / needed.sum()
+    return np.abs(seen - due).max()
+
+
+def test_the_mix_is_in_the_order_of_the_points(spark, monkeypatch):
+    needed = np.array([500, 0, 3, 1200, 1, 296])
+    assert uneven(op.schedule(spark, needed, chunk=128).collect(), needed) < 8
+    for step in (0, 12345):  # not of low discrepancy
+        monkeypatch.setattr(op, "GOLDEN", np.uint64(step))
+        assert uneven(op.schedule(spark, needed, chunk=128).collect(), needed) > 100
+
+
+def test_the_sequence_of_blocks_holds_the_taken_words(spark):
+    docs = documents(spark, corpus())
+    turns = op.mix_order(docs, block=16).collect()
+    words = Counter()
+    for row in turns:
+        words[row.source] += row.words
+    sources = {}
+    for doc, text, *more in corpus():
+        sources.setdefault((doc, size(text)), set()).add(more[1] if more else "s")
+    total = sum(row.taken for row in op.mix(docs, block=16).collect())
+    assert sum(words.values()) == total and set(words) <= {s for group in sources.values() for s in group}
+    assert max(row.words for row in turns) <= 16 and len({row.position for row in turns}) == len(turns)
+    # No long run of one source that has less than half of the mix.
+    order = [row.source for row in sorted(turns, key=lambda row: row.position)]
+    small = max((s for s in words if 2 * words[s] < total), key=words.get)
+    assert "xxxxx" not in "".join("x" if s == small else "." for s in order[: len(order) * 9 // 10])
+
+
 def test_water_fill_matches_sharing_again():
     r = np.random.default_rng(1)
     for _ in range(200):

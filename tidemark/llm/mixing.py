@@ -4,7 +4,9 @@ Documents of a source are put in the order of a hash of their id, end to end, an
 blocks of equally many words.  Golden-ratio points, mapped through the cumulative weights of
 the sources, say which source each slot of the mix takes a block from; the rank of a slot
 among those of its source says which block, starting over after the last.  Slots beyond a
-source's target are void and handed to sources that the points left short.
+source's target are void and handed to sources that the points left short, at the end.  The
+order of the points is the order of the mix: :func:`mix_order` gives its blocks by position,
+and what is taken of a document is counted from the same rows.
 
 No source is gathered in one task: order and ranks are prefix sums, first within hash ranges
 or chunks of slots, then over their totals.  Per source the driver sees two numbers.
@@ -57,8 +59,9 @@ def slots_needed(sizes: np.ndarray, targets: np.ndarray, block: int) -> np.ndarr
 
 
 def schedule(spark: SparkSession, needed: np.ndarray, chunk: int = CHUNK) -> DataFrame:
-    """(rank, slot): as many slots as ``needed`` for each source, numbered from 0.  The order
-    of the mix is the order of the points."""
+    """(rank, slot, position): as many slots as ``needed`` for each source, numbered from 0, in
+    the order of the mix: the number of the point, or, of slots that the points left out, one
+    after all points."""
     total = int(needed.sum())
     bounds = np.cumsum(needed)
     # The first point of the next source, in 64-bit steps of the circle.
@@ -85,7 +88,7 @@ def schedule(spark: SparkSession, needed: np.ndarray, chunk: int = CHUNK) -> Dat
             counts = np.diff([*first, len(sources)])
             within[order] = np.arange(len(sources)) + np.repeat(np.array(offset) - first, counts)
             valid = within < needed[sources]
-            yield [sources[valid], within[valid]]
+            yield [sources[valid], within[valid], number * chunk + np.flatnonzero(valid)]
 
     chunks = spark.range(-(-total // chunk))
     counts = written(map_columns(chunks, counted, "chunk long, rank long, n long", F.col("id")))
@@ -93,18 +96,25 @@ def schedule(spark: SparkSession, needed: np.ndarray, chunk: int = CHUNK) -> Dat
     offsets = counts.withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0)))
     listed = offsets.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("rank", "offset"))).alias("l"))
     regular = map_columns(
-        listed, placed, "rank long, slot long", F.col("chunk"), F.col("l.rank"), F.col("l.offset")
+        listed, placed, "rank long, slot long, position long", F.col("chunk"), F.col("l.rank"), F.col("l.offset")
     )
     got = {row["rank"]: row["n"] for row in counts.groupBy("rank").agg(F.sum("n").alias("n")).collect()}
-    short = [(i, got.get(i, 0), int(n)) for i, n in enumerate(needed) if got.get(i, 0) < n]
-    late = spark.createDataFrame(short, "rank long, low long, high long").select(
-        "rank", F.explode(F.sequence("low", F.col("high") - 1)).alias("slot")
+    short, after = [], total
+    for i, n in enumerate(needed.tolist()):
+        if got.get(i, 0) < n:
+            short.append((i, got.get(i, 0), n, after - got.get(i, 0)))
+            after += n - got.get(i, 0)
+    late = spark.createDataFrame(short, "rank long, low long, high long, shift long").select(
+        "rank", F.explode(F.sequence("low", F.col("high") - 1)).alias("slot"), "shift"
     )
-    return regular.union(late)
+    return regular.union(late.select("rank", "slot", F.col("slot") + F.col("shift")))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, block: int = BLOCK) -> DataFrame:
-    """One row per row of ``docs``: doc_id, row_key, size, source_size, target, taken."""
+def arranged(
+    docs: DataFrame, weights: tuple[int, ...], block: int
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The rows to mix, words per source and hash range, the sources with their targets, and
+    the turns: position, rank, block, its length and how much of it is taken."""
     spark = docs.sparkSession
     ordered = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -139,14 +149,26 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, block: int = BLOCK)
     begun = epoch * F.col("source_size") + number * block
     length = F.least(F.lit(block), F.col("source_size") - number * block)
     left = F.col("words") - begun
-    plays = (
-        schedule(spark, needed).join(sources, "rank")
-        .select("rank", number.alias("block"), length.alias("length"), F.least(length, left).alias("take"))
-        .groupBy("rank", "block")
-        .agg(
-            F.sum((F.col("take") >= F.col("length")).cast("long")).alias("whole"),
-            F.max(F.when(F.col("take") < F.col("length"), F.col("take"))).alias("part"),
-        )
+    turns = schedule(spark, needed).join(sources, "rank").select(
+        "position", "rank", "source", number.alias("block"), length.alias("length"), F.least(length, left).alias("take")
+    )
+    return ordered, ranges, sources, turns
+
+
+def mix_order(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, block: int = BLOCK) -> DataFrame:
+    """The mix as a sequence of blocks: position (ascending, with gaps), source, block (of the
+    source's words in hash order) and words taken of it."""
+    _, _, _, turns = arranged(docs, weights, block)
+    named = F.when(F.col("source") != "t", F.substring("source", 2, 2**31 - 1))
+    return turns.select("position", named.alias("source"), "block", F.col("take").alias("words"))
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, block: int = BLOCK) -> DataFrame:
+    """One row per row of ``docs``: doc_id, row_key, size, source_size, target, taken."""
+    ordered, ranges, sources, turns = arranged(docs, weights, block)
+    plays = turns.groupBy("rank", "block").agg(
+        F.sum((F.col("take") >= F.col("length")).cast("long")).alias("whole"),
+        F.max(F.when(F.col("take") < F.col("length"), F.col("take"))).alias("part"),
     )
 
     before = W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
