@@ -28,11 +28,13 @@ def components(links: DataFrame) -> DataFrame:
     while (now := _fingerprint(links)) != last:
         last = now
         both = links.union(links.select("b", "a"))
-        smallest = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        # Minima are written, so that the joins with them can split the partition of a node
+        # with very many links.
+        smallest = written(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")))
         large = both.join(smallest, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         # Every node keeps its link to the smallest: those above point at m, the node itself too.
         large = large.union(smallest.where("a <> m").select("a", F.col("m").alias("b"))).distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        low = written(large.groupBy("a").agg(F.min("b").alias("m")))
         small = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         links = written(small.union(low.select("a", F.col("m").alias("b"))).where("a <> b").distinct())
     roots = links.select(F.col("b").alias("node")).distinct()
