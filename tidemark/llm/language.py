@@ -63,7 +63,8 @@ def train(docs: DataFrame, per_language: int = 400) -> tuple[list[str], np.ndarr
     # those with the smallest hashes.  Tasks drop what is not likely to be among them.
     sizes = labelled.groupBy("lang").agg(F.count("*").alias("size"))
     likely = uniform(F.xxhash64("doc_id")) < (2 * per_language + 100) / F.col("size")
-    ids = labelled.select("doc_id", "lang").join(sizes, "lang").where(likely).withColumn(
+    # A row per language, of which the model holds 2^GRAM_BITS numbers each.
+    ids = labelled.select("doc_id", "lang").join(F.broadcast(sizes), "lang").where(likely).withColumn(
         "nth", F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
     ).where(F.col("nth") <= per_language).select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct()
     texts = labelled.join(
@@ -170,6 +171,8 @@ def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
     suffixes = hosts.groupBy("suffix").agg(
         F.array(*(F.sum(F.col("by_host")[i]) for i in range(len(languages)))).alias("by_suffix")
     )
+    # Written, so that the joins can split the partition of a domain or suffix with many hosts.
+    domains, suffixes = written(domains), written(suffixes)
     places = written(hosts.join(domains, "domain").join(suffixes, "suffix").drop("domain", "suffix"))
 
     def fused(ids, hosts, declareds, scores, own, by_suffix, by_domain, by_host):
