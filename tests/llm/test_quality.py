@@ -48,6 +48,15 @@ def test_labels_of_held_out_rows_are_not_learned(spark):
     assert all(r.h == held(r.doc_id) for r in flags)
 
 
+def test_the_lists_to_fit_on_are_bounded_in_bytes(spark):
+    rows, labels = corpus(200)
+    docs, labels = documents(spark, rows + [(200, prose(1, 50_000))]), spark.createDataFrame(labels + [(200, 1, 0)], LABELS)
+    whole, part = op.train(docs, labels), op.train(docs, labels, fit_bytes=20_000)
+    assert part.weight.shape == whole.weight.shape and (part.weight != whole.weight).any()
+    none = op.train(docs, labels, fit_bytes=0)
+    assert {r.score for r in op.scored(docs, none).collect()} == {none.score(np.empty(0, dtype=np.int32))}
+
+
 def test_filter_keeps_columns_and_clean_rows(spark):
     rows, labels = corpus()
     docs = documents(spark, rows, extra=True)

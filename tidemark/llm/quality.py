@@ -7,7 +7,8 @@ dual coordinate descent.  Margins become scores by a logistic curve, fitted on r
 the descent did not see and weighted by the share of the classes among all training labels.
 
 The fit takes at most ``per_class`` labelled documents of each class, chosen by hash of the
-id, as a list of feature numbers each; the model has a fixed size.  Everything is scored by a
+id, as a list of feature numbers each, ``fit_bytes`` of lists at most; the model has a fixed
+size.  Everything is scored by a
 scan, whole texts, without a shuffle.
 
 Defined cases: null and empty texts have no n-gram and get the model's score for that.
@@ -29,11 +30,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import fresh, map_columns, query, read, utf8
+from tidemark.llm.common import fresh, map_columns, query, read, utf8, written
 
 GRAM_BITS = 18
 GRAMS, SHAPES, RUNS = 1 << GRAM_BITS, 1 << 16, 4
 SLAB = 1 << 20
+FIT_BYTES = 1 << 28
 ACCEPT = 0.7
 BLEND = 0.25  # weight of the fitted model against its mean magnitude
 
@@ -182,9 +184,9 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = 4000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, per_class: int = 4000, fit_bytes: int = FIT_BYTES) -> Model:
     """Fit on at most ``per_class`` documents of each class, from the labels that may be
-    learned from."""
+    learned from, and as many of them as have lists of ``fit_bytes`` together."""
     known = (
         labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").where(~held_out(F.col("doc_id")))
         .groupBy("doc_id").agg(F.min("quality").alias("quality"))
@@ -208,7 +210,12 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 4000) -> Model:
         texts, listed, "id long, quality int, features binary",
         F.col("_id").cast("long"), F.col("_quality").cast("int"), F.col("text"),
     )
-    rows = found.orderBy(F.xxhash64("id"), "id", "features").limit(2 * per_class).collect()
+    order = [F.xxhash64("id"), "id", "features"]
+    found = written(found.orderBy(*order).limit(2 * per_class))
+    # Sizes first, a number per row: the lists that reach the driver are bounded in bytes.
+    sizes = [row["n"] for row in found.orderBy(*order).select(F.octet_length("features").alias("n")).collect()]
+    fitting = int(np.searchsorted(np.cumsum(sizes), fit_bytes, side="right"))
+    rows = found.orderBy(*order).limit(fitting).collect()
     lists = [np.frombuffer(row["features"], dtype=np.int32) for row in rows]
     classes = np.array([row["quality"] for row in rows], dtype=int)
     if len(set(classes.tolist())) < 2:
