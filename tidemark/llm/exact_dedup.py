@@ -157,7 +157,7 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
         FROM documents
     )
     SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
-           doc_id = max(doc_id) OVER g AS kept, sha256(body) AS text_sha256
+           row_number() OVER (PARTITION BY body ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(body) AS text_sha256
     FROM n WINDOW g AS (PARTITION BY body)
     """,
 )

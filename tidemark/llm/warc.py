@@ -268,6 +268,7 @@ def page_number(name: str) -> Column:
     """
     WITH p AS (
         SELECT page_id, coalesce(html, '') AS payload, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS keep,
+               row_number() OVER (PARTITION BY coalesce(html, '') ORDER BY page_id DESC NULLS LAST) = 1 AS first,
                sha1(coalesce(html, '')) AS digest
         FROM pages
     )
@@ -275,17 +276,18 @@ def page_number(name: str) -> Column:
            array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
                ((('0x' || substr(digest, 5 * (i // 4)::BIGINT + 1, 5))::BIGINT >> (15 - 5 * (i % 4))::BIGINT) & 31) + 1, 1)), '')
                AS payload_digest,
-           CASE WHEN page_id = keep THEN 'response' ELSE 'revisit' END AS record_type,
-           CASE WHEN page_id <> keep THEN keep END AS refers_to
+           CASE WHEN first THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN NOT first THEN keep END AS refers_to
     FROM p
     """,
 )
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{work_folder(spark)}/warc-{uuid.uuid4().hex}"
-    write_archives(read(spark, sf_dir, "pages"), path)
-    found = written(read_archives(spark, path).select(
-        page_number("id").alias("page_id"), "payload_bytes", "payload_digest",
-        F.col("type").alias("record_type"), page_number("refers").alias("refers_to"),
-    ))
-    discard(spark, path)
-    return found
+    try:
+        write_archives(read(spark, sf_dir, "pages"), path)
+        return written(read_archives(spark, path).select(
+            page_number("id").alias("page_id"), "payload_bytes", "payload_digest",
+            F.col("type").alias("record_type"), page_number("refers").alias("refers_to"),
+        ))
+    finally:
+        discard(spark, path)
