@@ -46,6 +46,7 @@ CHUNK = 1 << 19  # words whose pairs are counted together
 FILTER_BITS = 25
 SLICES = 256  # parts of a language that are ranked on their own first
 BREAK, RARE = b".", -1
+MIX = np.uint64(0x9E3779B97F4A7C15)
 # The marks at which pieces end.
 MARKS = b".,;:!?\n\x0b\x0c\r"
 TO_BREAK = bytes.maketrans(MARKS, BREAK * len(MARKS))
@@ -90,6 +91,12 @@ def bit_of(lang: str, phrase: bytes, bits: int) -> int:
     return xxhash.xxh64_intdigest(phrase, xxhash.xxh64_intdigest(lang.encode(), 1)) >> (64 - bits)
 
 
+def bits_of(codes: np.ndarray, bits: int) -> np.ndarray:
+    """As :func:`bit_of`, for phrases whose parts have ranks."""
+    mixed = codes.astype(np.uint64) * MIX
+    return ((mixed ^ (mixed >> np.uint64(32))) * MIX >> np.uint64(64 - bits)).astype(np.int64)
+
+
 @dataclass
 class Filter:
     """One bit for each frequent phrase without a rank, 64 of them in a word."""
@@ -101,6 +108,10 @@ class Filter:
         bit = bit_of(lang, phrase, self.bits)
         return bool((int(self.words[bit >> 6]) >> (bit & 63)) & 1)
 
+    def holds_codes(self, codes: np.ndarray) -> np.ndarray:
+        at = bits_of(codes, self.bits)
+        return (self.words[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) > 0
+
 
 def coded(lang: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return (lang << (LEFT_BITS + RIGHT_BITS)) | (left << RIGHT_BITS) | right
@@ -216,10 +227,15 @@ def chunk_counts(
 
     for n in range(2, length):
         kept = both_parts(n)
-        ranks = ranked.rank(place, n, ranks[: len(kept)], one[n - 1 :][: len(kept)])
+        left, right = ranks[: len(kept)], one[n - 1 :][: len(kept)]
+        ranks = ranked.rank(place, n, left, right)
         unsure = np.flatnonzero(kept & (ranks < 0))
         kept &= ranks >= 0
         if ranked.filters[n - 1].words is not None:
+            direct = (left[unsure] >= 0) & (right[unsure] >= 0)
+            at = unsure[direct]
+            kept[at] = ranked.filters[n - 1].holds_codes(coded(place, left[at], right[at]))
+            unsure = unsure[~direct]
             _, first, which = np.unique(codes(n, unsure), return_index=True, return_inverse=True)
             holds = np.array(
                 [ranked.filters[n - 1].holds(lang, b" ".join(words[i : i + n])) for i in unsure[first].tolist()], dtype=bool
@@ -277,14 +293,16 @@ def phrase_counts(docs: DataFrame, ranked: Ranked, length: int, least: int) -> D
 
 
 def filter_of(rest: DataFrame, bits: int) -> Filter:
-    """The filter of the rows (lang, phrase) of ``rest``; at most 2^bits bits reach the driver."""
+    """The filter of the rows (lang, phrase, code) of ``rest``; at most 2^bits bits reach the
+    driver."""
 
-    def placed(langs, phrases):
-        found = [bit_of(lang, phrase, bits) for lang, phrase in zip(langs.to_pylist(), utf8(phrases))]
-        masks = np.array([1 << (bit & 63) for bit in found], dtype=np.uint64).view(np.int64)
-        yield [[bit >> 6 for bit in found], masks]
+    def placed(langs, phrases, codes):
+        by_text = [bit_of(lang, phrase, bits) for lang, phrase in zip(langs.to_pylist(), utf8(phrases))]
+        known = codes.is_valid().to_numpy(zero_copy_only=False)
+        found = np.where(known, bits_of(codes.fill_null(0).to_numpy(), bits), np.array(by_text, dtype=np.int64))
+        yield [found >> 6, (np.uint64(1) << (found & 63).astype(np.uint64)).view(np.int64)]
 
-    rows = map_columns(rest, placed, "place long, mask long", F.col("lang"), F.col("phrase"))
+    rows = map_columns(rest, placed, "place long, mask long", F.col("lang"), F.col("phrase"), F.col("code"))
     table = rows.groupBy("place").agg(F.bit_or("mask").alias("mask")).toArrow()
     if not table.num_rows:
         return Filter(bits, None)
@@ -344,7 +362,7 @@ def frequencies(
         raise ValueError("more ranks than a code can hold")
     words = written(word_counts(docs, least))
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    frequent = words.where(F.col("phrase").isNotNull())
+    frequent = words.where(F.col("phrase").isNotNull()).withColumn("code", F.lit(None).cast("long"))
     ranked = ranked_words(frequent, words_most, filter_bits)
     found = frequent.select("lang", "phrase", F.lit(1).alias("size"), "f")
     for size in range(2, longest + 1):
