@@ -64,7 +64,7 @@ def test_every_run_of_sixteen_equal_words_shares_a_minimizer():
         sides = []
         for side in (1, 2):
             text = [w.encode() for w in words(1000 * side + seed, 40) + run + words(2000 * side + seed, 40)]
-            hashes = op.shingle_hashes(text, op.K)
+            hashes = op.gram_hashes(text, op.WordHashes())
             sides.append(set(hashes[op.minimizers(hashes)].tolist()))
         assert sides[0] & sides[1]
 
@@ -144,3 +144,69 @@ def test_a_repeated_phrase_is_found(spark, period):
     found = op.passages(documents(spark, rows)).collect()
     check(rows, found)
     assert pairs_and_covered(found) == {(2, 1): 60, (3, 1): 60}
+
+
+def halves(pairs=20, size=30):
+    """Pairs of documents with a passage of one changed word whose halves came first elsewhere."""
+    rows, wanted = [], set()
+    for i in range(pairs):
+        one, two = words(1000 + i, size), words(2000 + i, size)
+        rows.append((10 * i, " ".join(words(3000 + i, 25) + one + words(4000 + i, 25))))
+        rows.append((10 * i + 1, " ".join(words(5000 + i, 25) + two + words(6000 + i, 25))))
+        rows.append((10 * i + 5, " ".join(words(7000 + i, 40) + one + two + words(8000 + i, 40))))
+        other = changed(one + two, {3 + i * (2 * size - 6) // pairs})
+        rows.append((10 * i + 6, " ".join(words(9000 + i, 40) + other + words(9500 + i, 40))))
+        wanted.add((10 * i + 6, 10 * i + 5))
+    return rows, wanted
+
+
+def test_changed_passages_are_found_whose_halves_came_first_in_other_documents(spark):
+    rows, wanted = halves()
+    found = op.passages(documents(spark, rows)).collect()
+    check(rows, found)
+    assert {(r.doc_id, r.first_doc_id) for r in found} == wanted
+
+
+def linked_pairs(rows):
+    """All pairs that share LEAST or more words in a row, or with single changes, as aligned
+    from every equal 5 words."""
+    texts = {i: t.encode().lower().split() for i, t in rows}
+    places = {}
+    for i, text in texts.items():
+        for p in range(len(text) - op.K + 1):
+            places.setdefault(tuple(text[p : p + op.K]), []).append((i, p))
+    matches = {}
+    for group in places.values():
+        for i, p in group:
+            for j, q in group:
+                if i > j:
+                    matches.setdefault((i, j), []).append((p, q))
+    out = set()
+    for (i, j), found in matches.items():
+        pos, rep = (np.array(x) for x in zip(*sorted(found)))
+        if any(True for c in op.chains(pos, rep) for _ in op.align(texts[i], 0, texts[j], 0, pos[c], rep[c])):
+            out.add((i, j))
+    return out
+
+
+def test_recall_against_all_pairs(spark):
+    r = random.Random(11)
+    lines = [words(50 + i, r.randrange(8, 40)) for i in range(40)]
+    rows = []
+    for i in range(80):
+        parts = []
+        for _ in range(r.randrange(1, 5)):
+            parts += words(600 + 10 * i + len(parts), r.randrange(5, 30))
+            first = r.randrange(40)
+            run = sum((lines[(first + k) % 40] for k in range(r.randrange(1, 4))), [])
+            parts += [w if r.random() > 0.015 else f"c{r.randrange(10**6)}" for w in run]
+        rows.append((i, " ".join(parts)))
+    truth = linked_pairs(rows)
+    found = op.passages(documents(spark, rows)).collect()
+    check(rows, found)
+    pairs = {(x.doc_id, x.first_doc_id) for x in found}
+    # A star: of the documents with a passage each is linked with one before it.  So classes
+    # are compared, and how many documents with an earlier partner are linked at all.
+    late = {i for i, _ in truth}
+    assert len(late) > 30 and len({i for i, _ in pairs} & late) >= 0.9 * len(late)
+    assert len(pairs - truth) <= 0.05 * len(pairs)

@@ -122,6 +122,35 @@ def keep_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
     )
 
 
+class BitFilter:
+    """A set of 64-bit hashes as bits of a table of fixed size: what it holds is said to be held,
+    other hashes are by chance.  None of it, if the set is empty."""
+
+    def __init__(self, words: np.ndarray | None, bits: int):
+        self.words, self.bits = words, bits
+
+    def holds(self, hashes: np.ndarray) -> np.ndarray:
+        """For hashes as uint64."""
+        if self.words is None:
+            return np.zeros(len(hashes), dtype=bool)
+        at = hashes >> np.uint64(64 - self.bits)
+        return (self.words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) > 0
+
+
+def bit_filter(hashed: DataFrame, name: str, bits: int = 25) -> BitFilter:
+    """The filter of a column of 64-bit hashes; 2^bits bits at most reach the driver."""
+    at = F.shiftrightunsigned(F.col(name), 64 - bits)
+    rows = hashed.where(F.col(name).isNotNull()).select(at.alias("at")).selectExpr(
+        "shiftrightunsigned(at, 6) AS place", "shiftleft(1L, CAST(at & 63 AS INT)) AS mask"
+    )
+    table = rows.groupBy("place").agg(F.bit_or("mask").alias("mask")).toArrow()
+    if not table.num_rows:
+        return BitFilter(None, bits)
+    words = np.zeros(1 << (bits - 6), dtype=np.uint64)
+    words[table["place"].to_numpy()] = table["mask"].to_numpy().view(np.uint64)
+    return BitFilter(words, bits)
+
+
 def uniform(hashed: Column) -> Column:
     """A 64-bit hash as a number from 0 to 1."""
     return hashed.cast("double") / 2.0**64 + 0.5

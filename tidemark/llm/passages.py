@@ -10,13 +10,18 @@ words: their ends are extended over equal words and single changes, and a passag
 if it has at least LEAST words and its K-word shingles have Jaccard similarity SIMILAR or
 more; a chain that fails is parted at its widest gap and tried again.
 
-A hash's first document need not hold the whole passage, nor its first place there.  So where a
-later document has WIDE words after a seed in common with another and no passage covers them,
-all windows of LEAST words there are matched with the first document and place that hold the
-same window.  LEAST equal words in a row are thus always covered.  A passage with a changed
-word and without LEAST equal words in a row is found only if chains to the first documents of
-its seeds give it: it holds a run of 16 equal words and so has a seed, but may be lost where
-its parts came first in other places.  Words are compared with A-Z lower-cased.
+A hash's first document need not hold the whole passage, nor its first place there.  So where
+seeds of a later document are in no passage, links of two (next to each other, or with one
+left out) and four of its shared seeds in a row are matched as one, with the first document
+and place that have the same link: that is a star again, but only around documents that hold
+more of the passage.  Links reach over a changed word.  Last, where a later document has
+WIDE words after a seed in common with another and no passage covers them, all windows of
+LEAST words there are matched with the first document and place that hold the same window:
+LEAST equal words in a row are always covered.  A passage with a changed word and without
+LEAST equal words in a row is lost only where all its links came first in other places, too.  Words are compared with A-Z lower-cased.
+
+Tasks that send seeds, blocks of words or texts to a join first ask a table of bits of fixed
+size whether the other side may hold the key.
 
 Defined cases: null and empty texts and texts of fewer than K words have no passage; rows
 without doc_id take no part.  Rows equal in id and text count once; rows that share an id
@@ -29,14 +34,15 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_columns, query, read, shingle_hashes, utf8, written
+from tidemark.llm.common import bit_filter, map_columns, query, read, utf8, written
 from tidemark.operators.publish import discard
 from tidemark.sources.lake import work_folder
 
@@ -50,6 +56,8 @@ DROP = 12  # an extension ends when its score falls this far below its best
 CHANGE = 5  # what a changed word costs, against 1 for an equal one
 WIDE = LEAST - WINDOW + 1  # of LEAST equal words, at least so many follow from the first seed on
 MIX = np.uint64(0x9E3779B97F4A7C15)
+WHOLE = (-1).to_bytes(4, "little", signed=True)  # in place of a block number
+LINKS = ((0, 1), (0, 2), (0, 1, 2, 3))  # seeds that are matched together, by their order from one on
 
 
 def minimizers(hashes: np.ndarray) -> np.ndarray:
@@ -61,11 +69,40 @@ def minimizers(hashes: np.ndarray) -> np.ndarray:
     return np.unique(windows.argmin(axis=1) + np.arange(len(windows)))
 
 
+class WordHashes(dict):
+    """64-bit hashes of words, remembered."""
+
+    MOST = 1 << 18
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > self.MOST:
+            self.clear()
+        self[word] = value = xxhash.xxh64_intdigest(word)
+        return value
+
+
+def stirred(mixed: np.ndarray) -> np.ndarray:
+    return (mixed ^ (mixed >> np.uint64(29))) * MIX
+
+
+def gram_hashes(words: list[bytes], known: WordHashes) -> np.ndarray | None:
+    """Hashes of every K words in a row, put together from those of the words; None if there
+    are fewer words."""
+    if len(words) < K:
+        return None
+    one = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
+    n = len(words) - K + 1
+    mixed = np.zeros(n, dtype=np.uint64)
+    for i in range(K):
+        mixed = stirred(mixed) + one[i : i + n]
+    return stirred(mixed)
+
+
 def spans(hashes: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
     """Hashes of ``length`` words from each place, put together from those of the k-mers."""
     mixed = np.zeros(len(places), dtype=np.uint64)
     for offset in (*range(0, length - K, K), length - K):
-        mixed = (mixed ^ (mixed >> np.uint64(29))) * MIX + hashes[places + offset]
+        mixed = stirred(mixed) + hashes[places + offset]
     return mixed
 
 
@@ -74,9 +111,9 @@ def seeds(docs: DataFrame) -> DataFrame:
     from there (32 bits, used beside ``hash``), null where fewer are left."""
 
     def found(ids, tags, texts):
-        parts = []
+        parts, known = [], WordHashes()
         for doc, mark, text in zip(ids.to_pylist(), tags.to_pylist(), utf8(texts)):
-            hashes = shingle_hashes(text.lower().split(), K)
+            hashes = gram_hashes(text.lower().split(), known)
             if hashes is not None:
                 places = minimizers(hashes)
                 n = int(np.searchsorted(places, len(hashes) - (WIDE - K)))
@@ -109,7 +146,22 @@ def text_tag() -> Column:
 def shared_seeds(found: DataFrame) -> DataFrame:
     """The seeds whose hash another document has too, with the first of these documents."""
     spread = found.groupBy("hash").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
-    return found.join(written(spread.where("first_id < last_id").select("hash", "first_id")), "hash")
+    several = written(spread.where("first_id < last_id").select("hash", "first_id"))
+    return held(found, "hash", several).join(several, "hash")
+
+
+def held(rows: DataFrame, name: str, wanted: DataFrame) -> DataFrame:
+    """The rows whose hash may be among those of ``wanted``: so that a join with it moves
+    these only."""
+    shared = rows.sparkSession.sparkContext.broadcast(bit_filter(wanted, name))
+    place = rows.columns.index(name)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = batch.column(place).to_numpy(zero_copy_only=False).view(np.uint64)
+            yield batch.filter(pa.array(shared.value.holds(hashes)))
+
+    return rows.mapInArrow(run, rows.schema)
 
 
 def first_places(rows: DataFrame, key: str, place: str) -> DataFrame:
@@ -227,23 +279,46 @@ def chained(found: DataFrame) -> DataFrame:
     )
 
 
-def blocks(docs: DataFrame) -> DataFrame:
-    """The words of each document, BLOCK at a time."""
+def text_hash() -> Column:
+    """Of id and tag of a text; with the number of a block after it, of the block."""
+    return F.xxhash64(F.col("doc_id").cast("long"), text_tag())
 
-    def cut(ids, tags, texts):
-        for doc, mark, text in zip(ids.to_pylist(), tags.to_pylist(), utf8(texts)):
+
+def blocks(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """The words of each document, BLOCK at a time, as far as ``asked`` (doc_id, tag, block)
+    may hold them; texts without such a block are not taken apart."""
+    texts = asked.select("doc_id", "tag", F.lit(-1).alias("block")).distinct()
+    hashed = asked.select("doc_id", "tag", "block").distinct().union(texts).select(
+        F.xxhash64("doc_id", "tag", "block").alias("h")
+    )
+    shared = docs.sparkSession.sparkContext.broadcast(bit_filter(hashed, "h"))
+
+    def cut(ids, tags, hashes, texts):
+        known = shared.value
+        first = xxhash.xxh64_intdigest
+        seeds = hashes.to_numpy().view(np.uint64).tolist()
+        whole = known.holds(np.array([first(WHOLE, h) for h in seeds], dtype=np.uint64))
+        pick = pa.array(np.flatnonzero(whole))
+        for doc, mark, h, text in zip(
+            ids.take(pick).to_pylist(), tags.take(pick).to_pylist(), np.array(seeds, dtype=np.uint64)[whole].tolist(),
+            utf8(texts.take(pick)),
+        ):
             words = text.lower().split()
             if len(words) >= K:
-                parts = [b" ".join(words[i : i + BLOCK]) for i in range(0, len(words), BLOCK)]
+                n = -(-len(words) // BLOCK)
+                numbers = np.flatnonzero(
+                    known.holds(np.array([first(i.to_bytes(4, "little"), h) for i in range(n)], dtype=np.uint64))
+                )
+                parts = [b" ".join(words[i * BLOCK : (i + 1) * BLOCK]) for i in numbers.tolist()]
                 n = len(parts)
                 yield [
                     np.full(n, doc, dtype=np.int64), np.full(n, mark, dtype=np.int32),
-                    np.arange(n, dtype=np.int32), pa.array(parts, type=pa.binary()),
+                    numbers.astype(np.int32), pa.array(parts, type=pa.binary()),
                 ]
 
     return map_columns(
         docs.where("doc_id IS NOT NULL"), cut, "doc_id long, tag int, block int, words binary",
-        F.col("doc_id").cast("long"), text_tag(), F.col("text"),
+        F.col("doc_id").cast("long"), text_tag(), text_hash(), F.col("text"),
     )
 
 
@@ -296,15 +371,9 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Have Spark delete the files of shuffles that nothing refers to any more."""
-    spark.sparkContext._jvm.System.gc()
-
-
 def aligned(docs: DataFrame, found: DataFrame) -> DataFrame:
     """The passages along chains, with the tag of their document."""
     linked = written(found.withColumn("chain", F.monotonically_increasing_id()))
-    release(docs.sparkSession)
 
     def wanted(role, name, mark, places):
         low = F.greatest(F.element_at(places, 1) - MARGIN, F.lit(0))
@@ -315,7 +384,7 @@ def aligned(docs: DataFrame, found: DataFrame) -> DataFrame:
         )
 
     asked = wanted(1, "doc_id", "tag", "pos").union(wanted(2, "first_id", "first_tag", "first_pos"))
-    pieces = asked.join(blocks(docs), ["doc_id", "tag", "block"]).select("chain", "role", "block", "words")
+    pieces = asked.join(blocks(docs, asked), ["doc_id", "tag", "block"]).select("chain", "role", "block", "words")
     none = lambda kind: F.lit(None).cast(kind)
     heads = linked.select(
         "chain", F.lit(0).alias("role"), F.lit(0).alias("block"), F.lit(None).cast("binary").alias("words"),
@@ -363,52 +432,118 @@ def aligned(docs: DataFrame, found: DataFrame) -> DataFrame:
     )
 
 
-def open_windows(docs: DataFrame, shared: DataFrame, accepted: DataFrame, path: str) -> DataFrame:
-    """key, doc_id, tag and start of windows of LEAST words: those around seeds whose WIDE words
-    another document has too, if for one of the later documents they reach out of its passages."""
-    key = ["hash", "wide"]
-    rows = shared.where("wide IS NOT NULL").select(*key, "doc_id", "tag", "pos")
-    spread = rows.groupBy(*key).agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
-    rows = rows.join(written(spread.where("first_id < last_id").drop("last_id")), key)
+def marked(shared: DataFrame, accepted: DataFrame) -> DataFrame:
+    """The seeds that other documents have too, with keys that say more than their hash:
+    ``wide`` of the WIDE words from there, and ``link0``, ... of the seeds of each of LINKS, the
+    last of them at ``last0``, ... (all null where there are no more).  A key is open where an earlier document has the seed and its words reach out of
+    the accepted passages of this document."""
     none = lambda kind: F.lit(None).cast(kind)
-    low = F.greatest(F.col("pos") - (WINDOW - 1), F.lit(0))
-    both = rows.withColumn("low", low).withColumn("end", none("int")).unionByName(
-        accepted.select(
-            none("long").alias("hash"), none("int").alias("wide"), "doc_id", "tag", none("int").alias("pos"), none("long").alias("first_id"),
-            F.col("start_word").alias("low"), F.col("end_word").alias("end"),
-        )
-    )
-    # A passage that begins at ``low`` or before and ends last covers the most.
-    before = W.partitionBy("doc_id", "tag").orderBy("low", F.col("end").desc_nulls_last()).rowsBetween(
-        W.unboundedPreceding, 0
-    )
-    flagged = stored(
-        both.withColumn("reach", F.coalesce(F.max("end").over(before), F.lit(-1))).where("pos IS NOT NULL")
-        .select(*key, "doc_id", "tag", "pos", ((F.col("doc_id") > F.col("first_id"))
-                                              & (F.col("reach") < F.col("pos") + LEAST)).alias("open")),
-        path,
+    rows = shared.select("doc_id", "tag", "pos", "hash", "wide", (F.col("doc_id") > F.col("first_id")).alias("late"), none("int").alias("end"))
+    rows = rows.unionByName(accepted.select(
+        "doc_id", "tag", F.col("start_word").alias("pos"), none("long").alias("hash"), none("int").alias("wide"),
+        none("boolean").alias("late"), F.col("end_word").alias("end"),
+    ))
+
+    def run(batches):
+        for group in groups(batches, ["doc_id", "tag"]):
+            passages = group["end"].is_valid().to_numpy()
+            pos = group["pos"].to_numpy()
+            # How far the passages that begin at a place or before reach.
+            reach = np.maximum.accumulate(np.where(passages, group["end"].fill_null(-1).to_numpy(), -1))
+            seeds = np.flatnonzero(~passages)
+            if not len(seeds):
+                continue
+            at, reach = pos[seeds], reach[seeds]
+            late = group["late"].fill_null(False).to_numpy()[seeds]
+            hashes = group["hash"].fill_null(0).to_numpy()[seeds].view(np.uint64)
+            wide = group["wide"].is_valid().to_numpy()[seeds]
+            value = group["wide"].fill_null(0).to_numpy()[seeds].astype(np.int64).view(np.uint64)
+            n = len(seeds)
+            out = [
+                pa.array([group["doc_id"][0].as_py()] * n, type=pa.int64()),
+                pa.array([group["tag"][0].as_py()] * n, type=pa.int32()),
+                pa.array(at, type=pa.int32()),
+                pa.array(stirred(hashes + stirred(value)).view(np.int64), mask=~wide),
+                pa.array(late & (reach < at + LEAST) & wide),
+            ]
+            for link in LINKS:
+                m = max(n - link[-1], 0)
+                mixed, close = np.full(n, len(link), dtype=np.uint64), np.zeros(n, dtype=bool)
+                last = np.zeros(n, dtype=np.int32)
+                close[:m] = True
+                for i in link:
+                    mixed[:m] = stirred(mixed[:m]) + hashes[i : i + m]
+                    last[:m] = at[i : i + m]
+                for i, j in zip(link, link[1:]):
+                    close[:m] &= at[j : j + m] - at[i : i + m] <= WIDEST
+                out += [
+                    pa.array(stirred(mixed).view(np.int64), mask=~close), pa.array(last, mask=~close),
+                    pa.array(close & late & (reach < last + K)),
+                ]
+            yield pa.RecordBatch.from_arrays(out, names)
+
+    schema = "doc_id long, tag int, pos int, wide long, open_wide boolean" + "".join(
+        f", link{n} long, last{n} int, open{n} boolean" for n in range(len(LINKS))
     )
-    wanted = written(flagged.where("open").select(*key).distinct())
-    asked = written(
-        flagged.join(wanted, key).groupBy("doc_id", "tag").agg(F.sort_array(F.collect_set("pos")).alias("places"))
+    names = [part.split()[0] for part in schema.split(", ")]
+    # Passages come before seeds at the same place.
+    dealt = rows.repartition("doc_id", "tag").sortWithinPartitions("doc_id", "tag", "pos", F.col("end").desc_nulls_last())
+    return dealt.mapInArrow(run, schema)
+
+
+def among(rows: DataFrame, key: str, is_open: str) -> DataFrame:
+    """The rows with a key that is open in some row, where two documents or more have it."""
+    wanted = written(rows.where(is_open).select(key).distinct())
+    near = held(rows.where(f"{key} IS NOT NULL"), key, wanted).join(wanted, key)
+    spread = near.groupBy(key).agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    return near.join(written(spread.where("low < high").select(key)), key)
+
+
+def linked_matches(rows: DataFrame) -> DataFrame:
+    """As :func:`matches`, of open links: their first and last seeds, matched with the first
+    document and place that have the same link."""
+    found = []
+    for n in range(len(LINKS)):
+        near = written(among(
+            rows.select("doc_id", "tag", "pos", F.col(f"last{n}").alias("last"), F.col(f"link{n}").alias("key"),
+                        F.col(f"open{n}").alias("open")), "key", "open",
+        ))
+        firsts = written(near.groupBy("key").agg(F.min(F.struct("doc_id", "tag", "pos", "last")).alias("at")))
+        pairs = near.where("open").join(firsts, "key").where("doc_id <> at.doc_id")
+        for place in ("pos", "last"):
+            found.append(pairs.select(
+                "doc_id", "tag", F.col("at.doc_id").alias("first_id"), F.col("at.tag").alias("first_tag"),
+                F.col(place).alias("pos"), F.col(f"at.{place}").alias("first_pos"),
+            ))
+    return reduce(DataFrame.union, found).distinct()
+
+
+def open_windows(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """key, doc_id, tag and start of windows of LEAST words: those around seeds whose WIDE words
+    another document has too, if for one of the later documents they reach out of its passages."""
+    near = among(rows.select("doc_id", "tag", "pos", F.col("wide").alias("key"), F.col("open_wide").alias("open")), "key", "open")
+    asked = written(near.groupBy("doc_id", "tag").agg(F.sort_array(F.collect_set("pos")).alias("places")))
+    texts = held(
+        docs.where("doc_id IS NOT NULL").select(
+            F.col("doc_id").cast("long").alias("doc_id"), text_tag().alias("tag"), text_hash().alias("h"), "text"
+        ),
+        "h", asked.select(F.xxhash64("doc_id", "tag").alias("h")),
     )
 
     def cut(ids, tags, places, texts):
+        known = WordHashes()
         for doc, mark, near, text in zip(ids.to_pylist(), tags.to_pylist(), places.to_pylist(), utf8(texts)):
             words = text.lower().split()
             near = np.array(near)
             starts = np.unique(near[:, None] - np.arange(WINDOW)[None, :])
             starts = starts[(starts >= 0) & (starts <= len(words) - LEAST)]
             if len(starts):
-                keys = spans(shingle_hashes(words, K), starts, LEAST)
+                keys = spans(gram_hashes(words, known), starts, LEAST)
                 yield [
                     keys.view(np.int64), np.full(len(starts), doc, dtype=np.int64),
                     np.full(len(starts), mark, dtype=np.int32), starts.astype(np.int32),
                 ]
 
-    texts = docs.where("doc_id IS NOT NULL").select(
-        F.col("doc_id").cast("long").alias("doc_id"), text_tag().alias("tag"), "text"
-    )
     return map_columns(
         texts.join(asked, ["doc_id", "tag"]), cut, "key long, doc_id long, tag int, start int",
         F.col("doc_id"), F.col("tag"), F.col("places"), F.col("text"),
@@ -484,15 +619,19 @@ def passages(docs: DataFrame) -> DataFrame:
     """doc_id, start_word, end_word, first_doc_id, first_start, first_end and similarity of
     passages that an earlier document (smaller id) has too."""
     spark = docs.sparkSession
-    paths = [f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}" for name in ("seeds", "shared", "flagged")]
-    shared = stored(shared_seeds(stored(seeds(docs), paths[0])), paths[1])
-    discard(spark, paths[0])
-    release(spark)
-    accepted = written(aligned(docs, chained(matches(shared))))
-    release(spark)
-    late = aligned(docs, uncovered(written(open_windows(docs, shared, accepted, paths[2])), accepted))
-    for path in paths[1:]:
-        discard(spark, path)
+    paths = [f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}" for name in ("seeds", "shared", "marked")]
+    try:
+        shared = stored(shared_seeds(stored(seeds(docs), paths[0])), paths[1])
+        discard(spark, paths[0])
+        direct = written(aligned(docs, chained(matches(shared))))
+        rows = stored(marked(shared, direct), paths[2])
+        discard(spark, paths[1])
+        linked = written(aligned(docs, chained(linked_matches(rows))))
+        accepted = direct.union(linked)
+        late = written(aligned(docs, uncovered(written(open_windows(docs, rows)), accepted)))
+    finally:
+        for path in paths:
+            discard(spark, path)
     return accepted.union(late).drop("tag")
 
 
