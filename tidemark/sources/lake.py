@@ -146,10 +146,11 @@ def _own_folder() -> str:
 def work_folder(spark: SparkSession) -> str:
     """Folder for written intermediate tables, shared by all executors.
 
-    The cluster names it in ``spark.checkpoint.dir``.  Where that is unset, a session
-    without a cluster gets a folder of its own until it ends; a cluster session is refused.
+    The cluster names it in ``spark.checkpoint.dir``, or the program by ``setCheckpointDir``.
+    Where both are unset, a session without a cluster gets a folder of its own until it ends;
+    a cluster session is refused.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
