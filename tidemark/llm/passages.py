@@ -11,10 +11,11 @@ if it has at least LEAST words and its K-word shingles have Jaccard similarity S
 more; a chain that fails is parted at its widest gap and tried again.
 
 A hash's first document need not hold the whole passage, nor its first place there.  So where
-seeds of a later document are in no passage, links of two (next to each other, or with one
-left out) and four of its shared seeds in a row are matched as one, with the first document
-and place that have the same link: that is a star again, but only around documents that hold
-more of the passage.  Links reach over a changed word.  Last, where a later document has
+seeds of a later document are in no passage and came first in different documents, links of
+two (next to each other, or with one left out) and four of its shared seeds in a row are
+matched as one, with the first document and place that have the same link: that is a star
+again, but only around documents that hold more of the passage.  Links reach over a changed
+word.  Last, where a later document has
 WIDE words after a seed in common with another and no passage covers them, all windows of
 LEAST words there are matched with the first document and place that hold the same window:
 LEAST equal words in a row are always covered.  A passage with a changed word and without
@@ -432,53 +433,87 @@ def aligned(docs: DataFrame, found: DataFrame) -> DataFrame:
     )
 
 
+def complete(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Rows of whole groups, many groups at once, and the number of each row's group; rows
+    with equal keys follow each other."""
+    carry = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        if carry is not None:
+            table = pa.concat_tables([carry, table]).combine_chunks()
+        if not table.num_rows:
+            continue
+        number = numbered(table, keys)
+        end = int(np.searchsorted(number, number[-1]))
+        if end:
+            yield table.slice(0, end).combine_chunks(), number[:end]
+        carry = table.slice(end).combine_chunks()
+    if carry is not None and carry.num_rows:
+        yield carry, numbered(carry, keys)
+
+
+def numbered(table: pa.Table, keys: list[str]) -> np.ndarray:
+    change = np.zeros(table.num_rows, dtype=bool)
+    for key in keys:
+        values = table[key].to_numpy()
+        change[1:] |= values[1:] != values[:-1]
+    return np.cumsum(change)
+
+
 def marked(shared: DataFrame, accepted: DataFrame) -> DataFrame:
     """The seeds that other documents have too, with keys that say more than their hash:
     ``wide`` of the WIDE words from there, and ``link0``, ... of the seeds of each of LINKS, the
-    last of them at ``last0``, ... (all null where there are no more).  A key is open where an earlier document has the seed and its words reach out of
-    the accepted passages of this document."""
+    last of them at ``last0``, ... (all null where there are no more).
+
+    ``wide`` is open where an earlier document has the seed and the words reach out of the
+    accepted passages of this document.  A link is open where it begins beyond those and its
+    seeds came first in different earlier documents: one that holds all of them has been
+    compared with already.
+    """
     none = lambda kind: F.lit(None).cast(kind)
-    rows = shared.select("doc_id", "tag", "pos", "hash", "wide", (F.col("doc_id") > F.col("first_id")).alias("late"), none("int").alias("end"))
+    rows = shared.select("doc_id", "tag", "pos", "hash", "wide", "first_id", none("int").alias("end"))
     rows = rows.unionByName(accepted.select(
         "doc_id", "tag", F.col("start_word").alias("pos"), none("long").alias("hash"), none("int").alias("wide"),
-        none("boolean").alias("late"), F.col("end_word").alias("end"),
+        none("long").alias("first_id"), F.col("end_word").alias("end"),
     ))
 
     def run(batches):
-        for group in groups(batches, ["doc_id", "tag"]):
-            passages = group["end"].is_valid().to_numpy()
-            pos = group["pos"].to_numpy()
-            # How far the passages that begin at a place or before reach.
-            reach = np.maximum.accumulate(np.where(passages, group["end"].fill_null(-1).to_numpy(), -1))
+        for table, number in complete(batches, ["doc_id", "tag"]):
+            column = {name: table[name].combine_chunks() for name in table.column_names}
+            passages = column["end"].is_valid().to_numpy(zero_copy_only=False)
+            # How far the passages of a document that begin at a place or before reach.
+            ends = np.where(passages, column["end"].fill_null(0).to_numpy(), 0) + (number << 32)
             seeds = np.flatnonzero(~passages)
             if not len(seeds):
                 continue
-            at, reach = pos[seeds], reach[seeds]
-            late = group["late"].fill_null(False).to_numpy()[seeds]
-            hashes = group["hash"].fill_null(0).to_numpy()[seeds].view(np.uint64)
-            wide = group["wide"].is_valid().to_numpy()[seeds]
-            value = group["wide"].fill_null(0).to_numpy()[seeds].astype(np.int64).view(np.uint64)
-            n = len(seeds)
+            reach = (np.maximum.accumulate(ends) - (number << 32))[seeds]
+            number, at = number[seeds], column["pos"].to_numpy()[seeds]
+            doc, first = column["doc_id"].to_numpy()[seeds], column["first_id"].fill_null(0).to_numpy()[seeds]
+            hashes = column["hash"].fill_null(0).to_numpy()[seeds].view(np.uint64)
+            wide = column["wide"].is_valid().to_numpy(zero_copy_only=False)[seeds]
+            value = column["wide"].fill_null(0).to_numpy()[seeds].astype(np.int64).view(np.uint64)
+            n, late = len(seeds), doc > first
             out = [
-                pa.array([group["doc_id"][0].as_py()] * n, type=pa.int64()),
-                pa.array([group["tag"][0].as_py()] * n, type=pa.int32()),
-                pa.array(at, type=pa.int32()),
+                pa.array(doc), column["tag"].take(pa.array(seeds)), pa.array(at),
                 pa.array(stirred(hashes + stirred(value)).view(np.int64), mask=~wide),
                 pa.array(late & (reach < at + LEAST) & wide),
             ]
             for link in LINKS:
                 m = max(n - link[-1], 0)
-                mixed, close = np.full(n, len(link), dtype=np.uint64), np.zeros(n, dtype=bool)
-                last = np.zeros(n, dtype=np.int32)
-                close[:m] = True
+                mixed, last = np.full(n, len(link), dtype=np.uint64), np.zeros(n, dtype=np.int32)
+                close, several, known = (np.zeros(n, dtype=bool) for _ in range(3))
+                known[:m] = True
+                close[:m] = number[:m] == number[n - m :]
                 for i in link:
                     mixed[:m] = stirred(mixed[:m]) + hashes[i : i + m]
-                    last[:m] = at[i : i + m]
+                    several[:m] |= first[i : i + m] != first[:m]
+                    known[:m] &= late[i : i + m]
+                last[:m] = at[n - m :]
                 for i, j in zip(link, link[1:]):
                     close[:m] &= at[j : j + m] - at[i : i + m] <= WIDEST
                 out += [
                     pa.array(stirred(mixed).view(np.int64), mask=~close), pa.array(last, mask=~close),
-                    pa.array(close & late & (reach < last + K)),
+                    pa.array(close & several & known & (reach <= at)),
                 ]
             yield pa.RecordBatch.from_arrays(out, names)
 
