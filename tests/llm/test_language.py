@@ -88,6 +88,13 @@ def test_pages_without_text_lean_on_markup_and_address(spark, docs):
     assert np.mean([got[i] == list(SOUNDS)[i % 3] for i in silent]) > 0.8
 
 
+def test_a_very_long_page(spark, docs):
+    page = "<html><!--" + "x" * 300_000 + "-->" + "<p>" + text(5, "de", 60_000) + "</p>" * 50_000
+    rows = [(1, "http://a.b.example.com/" + "y" * 100_000, page), (2, "http://a.b.example.com/", None)]
+    got = {r.page_id: (r.language, r.host) for r in op.identify(frame(spark, rows), docs).collect()}
+    assert got[1] == ("de", "a.b.example.com") and set(got) == {1, 2}
+
+
 def test_without_labelled_documents_or_pages(spark, docs):
     nothing = documents(spark, [(1, "x", None)])
     got = op.identify(frame(spark, pages()[:3]), nothing)

@@ -37,7 +37,7 @@ def corpus():
 
 
 @pytest.mark.parametrize("block", [8, 1024])
-def test_targets_and_taken_words(spark, block):
+def test_targets_and_taken_words(spark, monkeypatch, block):
     rows = corpus()
     found = op.mix(documents(spark, rows, extra=True), block=block).collect()
     sizes = defaultdict(int)
@@ -59,6 +59,8 @@ def test_targets_and_taken_words(spark, block):
     for target, words in taken.items():
         same = [s for s in order if round(want[s], 6) == target]
         assert abs(words - sum(want[s] for s in same)) <= len(same)
+    monkeypatch.setattr(op, "RANGE_BITS", 2)  # more ranges than are needed
+    monkeypatch.setattr(op, "BUCKETS", 1)
     again = op.mix(documents(spark, rows[::-1], partitions=5), block=block).collect()
     assert Counter(map(tuple, again)) == Counter(map(tuple, found))
 

@@ -36,8 +36,10 @@ def searched(df):
     return out
 
 
-def test_recall_and_scores(spark, monkeypatch):
+@pytest.mark.parametrize("slab", [16384, 60])
+def test_recall_and_scores(spark, monkeypatch, slab):
     monkeypatch.setattr(op, "SHARD", 200)
+    monkeypatch.setattr(op, "SLAB", slab)
     monkeypatch.setattr(op, "QUERY_BLOCK", 7)
     rows = clustered(2000)
     frame = table(spark, rows, extra=True)

@@ -27,7 +27,8 @@ def urls():
     paths = ["", "/", "/a", "/a/", "/a/b", "/a/b/c", "/ab", "/é/a", "/a%20b", "//", "/a\x01", "/a\U0010ffff"]
     out = [None, "", "no scheme", "http://", "://", "http:///a/b", "mailto:x@a.org", "http://a.org?x=/a", "http://a.org#/a"]
     out += [f"http{r.choice(['', 's'])}://{r.choice(hosts)}{r.choice(paths)}{r.choice(['', '?q=://x/', '#f', '\nline'])}" for _ in range(400)]
-    return out + ["http://a.org/a/b"] * 50
+    long = "/a" * 20_000
+    return out + ["http://a.org/a/b"] * 50 + [f"http://{'x.' * 5_000}b.a.org{long}?{long}", f"http://a.org{long}"]
 
 
 @pytest.mark.parametrize("slice_rows", [3, 1024])

@@ -30,7 +30,8 @@ WEIGHTS = (3, 1, 2)
 SHARE, MOST = 1.5, 2  # words of the mix per word of the input; times a word may be taken
 BLOCK = 1024
 CHUNK = 1 << 16  # slots per row of the schedule
-BUCKETS = 10  # bits of the hash that cut a source into ranges
+BUCKETS, BUCKETS_MOST = 10, 20  # bits of the hash that cut a source into ranges
+RANGE_BITS = 16  # a range is planned for so many rows at most, as a power of two
 SOURCES_MOST = 1_000_000  # 16 bytes each reach the driver and every task
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)  # 2^64 divided by the golden ratio
 
@@ -122,8 +123,12 @@ def arranged(
         F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("t")).alias("source"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         F.xxhash64(F.col("doc_id").cast("long"), F.lit("mix")).alias("place"),
-    ).withColumn("bucket", F.shiftright("place", 64 - BUCKETS))
+    )
     ordered = written(ordered)
+    # Ranges are cut by the first bits of the place, which rows are ordered by: how many bits
+    # does not change what is taken.
+    bits = min(BUCKETS_MOST, max(BUCKETS, ordered.count().bit_length() - RANGE_BITS))
+    ordered = ordered.withColumn("bucket", F.shiftright("place", 64 - bits))
 
     # Sources in code point order, the one without name last: "s..." sorts before "t".
     ranges = ordered.groupBy("source", "bucket").agg(F.sum("size").alias("words"))

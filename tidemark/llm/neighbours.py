@@ -10,7 +10,8 @@ shard's own tree at a time, and are verified on the original vectors until the n
 so far that a nearer neighbour would have shown up before with probability ``sure``.
 
 Equal vectors are searched once, with the k + 1 smallest of their ids: no query needs more.
-Queries of a shard are cut into blocks; no group holds more than a block and a shard.
+Queries of a shard are cut into blocks, and a shard of more than SLAB vectors into slabs, each
+of which its queries visit; no group holds more than a block and a slab.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite components take no
 part, nor do rows without vec_id, nor vectors of another length than most (of equally
@@ -33,6 +34,7 @@ from tidemark.llm.common import hash_sample, map_columns, query, read, written
 DIMENSIONS = 8
 SURE = 0.97
 SHARD, SHARDS_MOST = 4096, 2048
+SLAB = 4 * SHARD  # vectors of a shard searched in one group; more come where shards are at their most
 SAMPLE = 1 << 16
 LEAF = 64
 QUERY_BLOCK = 4096
@@ -165,11 +167,17 @@ def valid(vectors: DataFrame) -> DataFrame:
 def search(index: DataFrame, queries: DataFrame, tree, k: int, reach: float, width: int) -> DataFrame:
     """(query_id, query, vec_id, score) per shard; ``queries`` has shard, query_id, vector and
     bound."""
-    counts = queries.groupBy("shard").agg(F.ceil(F.count("*") / QUERY_BLOCK).alias("blocks"))
-    dealt = queries.join(counts, "shard").withColumn(
-        "block", F.pmod(F.xxhash64("query_id", "vector"), F.col("blocks"))
+    # A row per shard each, so SHARDS_MOST or so.
+    counts = F.broadcast(queries.groupBy("shard").agg(F.ceil(F.count("*") / QUERY_BLOCK).alias("blocks")))
+    slabs = F.broadcast(index.groupBy("shard").agg(F.ceil(F.count("*") / SLAB).alias("slabs")))
+    dealt = (
+        queries.join(counts, "shard").withColumn("block", F.pmod(F.xxhash64("query_id", "vector"), F.col("blocks")))
+        .join(slabs, "shard").withColumn("slab", F.explode(F.sequence(F.lit(0), F.col("slabs") - 1)))
+    )
+    copies = (
+        index.join(slabs, "shard").withColumn("slab", F.pmod(F.xxhash64("vector"), F.col("slabs")))
+        .join(counts, "shard").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     )
-    copies = index.join(counts, "shard").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
 
     def run(points: pa.Table, asked: pa.Table) -> pa.Table:
         columns = {"query_id": [], "query": [], "vec_id": [], "score": []}
@@ -192,8 +200,10 @@ def search(index: DataFrame, queries: DataFrame, tree, k: int, reach: float, wid
         })
 
     return (
-        copies.select("shard", "block", "vector", "ids").groupBy("shard", "block")
-        .cogroup(dealt.select("shard", "block", "query_id", "query", "vector", "bound").groupBy("shard", "block"))
+        copies.select("shard", "slab", "block", "vector", "ids").groupBy("shard", "slab", "block")
+        .cogroup(
+            dealt.select("shard", "slab", "block", "query_id", "query", "vector", "bound").groupBy("shard", "slab", "block")
+        )
         .applyInArrow(run, "query_id long, query long, vec_id long, score double")
     )
 
