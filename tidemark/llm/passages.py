@@ -35,7 +35,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -62,12 +61,22 @@ LINKS = ((0, 1), (0, 2), (0, 1, 2, 3))  # seeds that are matched together, by th
 
 
 def minimizers(hashes: np.ndarray) -> np.ndarray:
-    """Places of the smallest hash of each window, the first where it comes more than once."""
+    """Places of the smallest hash of each window: those that are as large as the largest
+    minimum of the windows around them."""
     if not len(hashes):
         return np.empty(0, dtype=np.int64)
     width = min(WINDOW, len(hashes))
-    windows = np.lib.stride_tricks.sliding_window_view(hashes, width)
-    return np.unique(windows.argmin(axis=1) + np.arange(len(windows)))
+    edge = np.zeros(width - 1, dtype=np.uint64)
+    minima = np.concatenate([edge, sliding(np.minimum, hashes, width), edge])
+    return np.flatnonzero(sliding(np.maximum, minima, width) == hashes)
+
+
+def sliding(best, values: np.ndarray, width: int) -> np.ndarray:
+    """``best`` (minimum or maximum) of every ``width`` values in a row."""
+    size = 1
+    while 2 * size <= width:
+        values, size = best(values[:-size], values[size:]), 2 * size
+    return best(values[: size - width], values[width - size :]) if size < width else values
 
 
 class WordHashes(dict):
@@ -186,8 +195,9 @@ def matches(shared: DataFrame) -> DataFrame:
     )
 
 
-def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Runs of rows with equal keys, from batches in which they follow each other."""
+def complete(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Rows of whole groups, many groups at once, and the number of each row's group; rows
+    with equal keys follow each other."""
     carry = None
     for batch in batches:
         table = pa.Table.from_batches([batch])
@@ -195,16 +205,27 @@ def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Ta
             table = pa.concat_tables([carry, table]).combine_chunks()
         if not table.num_rows:
             continue
-        change = np.zeros(table.num_rows, dtype=bool)
-        for key in keys:
-            values = table[key].to_numpy()
-            change[1:] |= values[1:] != values[:-1]
-        starts = [0, *np.flatnonzero(change).tolist()]
-        for a, z in zip(starts, starts[1:]):
-            yield table.slice(a, z - a)
-        carry = table.slice(starts[-1]).combine_chunks()
-    if carry is not None:
-        yield carry
+        number = numbered(table, keys)
+        end = int(np.searchsorted(number, number[-1]))
+        if end:
+            yield table.slice(0, end).combine_chunks(), number[:end]
+        carry = table.slice(end).combine_chunks()
+    if carry is not None and carry.num_rows:
+        yield carry, numbered(carry, keys)
+
+
+def numbered(table: pa.Table, keys: list[str]) -> np.ndarray:
+    change = np.zeros(table.num_rows, dtype=bool)
+    for key in keys:
+        values = table[key].to_numpy()
+        change[1:] |= values[1:] != values[:-1]
+    return np.cumsum(change)
+
+
+def runs_of(number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First row and row after the last of each group."""
+    starts = np.flatnonzero(np.diff(number, prepend=-1))
+    return starts, np.append(starts[1:], len(number))
 
 
 def chains(pos: np.ndarray, rep: np.ndarray) -> list[np.ndarray]:
@@ -260,16 +281,21 @@ def chained(found: DataFrame) -> DataFrame:
     """One row per chain: the two documents and the places of its matches in both."""
 
     def run(batches):
-        for group in groups(batches, PAIR):
-            pos, rep = group["pos"].to_numpy(), group["first_pos"].to_numpy()
-            lists = chains(pos, rep)
-            if lists:
+        for table, number in complete(batches, PAIR):
+            pos, rep = table["pos"].to_numpy(), table["first_pos"].to_numpy()
+            starts, ends = runs_of(number)
+            several = ends - starts > 1  # one match is no chain
+            owners, ours, theirs = [], [], []
+            for a, z in zip(starts[several].tolist(), ends[several].tolist()):
+                for chain in chains(pos[a:z], rep[a:z]):
+                    owners.append(a)
+                    ours.append(pos[a:z][chain])
+                    theirs.append(rep[a:z][chain])
+            if owners:
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *(pa.array([group[name][0].as_py()] * len(lists), type=group.schema.field(name).type)
-                          for name in PAIR),
-                        pa.array([pos[c] for c in lists], type=pa.list_(pa.int32())),
-                        pa.array([rep[c] for c in lists], type=pa.list_(pa.int32())),
+                        *(table[name].combine_chunks().take(pa.array(owners)) for name in PAIR),
+                        pa.array(ours, type=pa.list_(pa.int32())), pa.array(theirs, type=pa.list_(pa.int32())),
                     ],
                     [*PAIR, "pos", "first_pos"],
                 )
@@ -399,27 +425,32 @@ def aligned(docs: DataFrame, found: DataFrame) -> DataFrame:
     )
 
     def run(batches):
-        for group in groups(batches, ["chain"]):
-            roles, numbers = group["role"].to_numpy(), group["block"].to_numpy()
-            texts = group["words"].to_pylist()
-            sides = []
-            for role in (1, 2):
-                # A row repeated in the input gives the same block again.
-                own = {int(n): text for r, n, text in zip(roles, numbers, texts) if r == role}
-                first = min(own)
-                sides.append((b" ".join(own[n] for n in sorted(own)).split(b" "), first * BLOCK))
-            pos = np.array(group["pos"][0].as_py())
-            rep = np.array(group["first_pos"][0].as_py())
-            found = list(align(*sides[0], *sides[1], pos, rep))
+        for table, number in complete(batches, ["chain"]):
+            roles, numbers = table["role"].to_numpy(), table["block"].to_numpy().tolist()
+            texts = table["words"].to_pylist()
+            starts, ends = runs_of(number)
+            # The head comes first in each group, then the blocks of one side and of the other.
+            heads = table.take(pa.array(starts))
+            places = zip(heads["pos"].to_pylist(), heads["first_pos"].to_pylist())
+            middles = starts + 1 + np.add.reduceat(roles == 1, starts)
+            owners, found = [], []
+            for head, (a, m, z, (pos, rep)) in enumerate(zip(starts.tolist(), middles.tolist(), ends.tolist(), places)):
+                sides = []
+                for low, high in ((a + 1, m), (m, z)):
+                    # A row repeated in the input gives the same block again.
+                    own = dict(zip(numbers[low:high], texts[low:high]))
+                    sides += [b" ".join(own.values()).split(b" "), numbers[low] * BLOCK]
+                for passage in align(*sides, np.array(pos), np.array(rep)):
+                    owners.append(head)
+                    found.append(passage)
             if found:
-                doc, other = group["doc_id"][0].as_py(), group["first_id"][0].as_py()
                 start, end, first_start, first_end, similarity = zip(*found)
+                kept = heads.take(pa.array(owners))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([doc] * len(found), type=pa.int64()),
-                        pa.array([group["tag"][0].as_py()] * len(found), type=pa.int32()),
-                        pa.array(start, type=pa.int32()),
-                        pa.array(end, type=pa.int32()), pa.array([other] * len(found), type=pa.int64()),
+                        kept["doc_id"].combine_chunks(), kept["tag"].combine_chunks(),
+                        pa.array(start, type=pa.int32()), pa.array(end, type=pa.int32()),
+                        kept["first_id"].combine_chunks(),
                         pa.array(first_start, type=pa.int32()), pa.array(first_end, type=pa.int32()),
                         pa.array(similarity, type=pa.float64()),
                     ],
@@ -433,33 +464,6 @@ def aligned(docs: DataFrame, found: DataFrame) -> DataFrame:
     )
 
 
-def complete(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
-    """Rows of whole groups, many groups at once, and the number of each row's group; rows
-    with equal keys follow each other."""
-    carry = None
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        if carry is not None:
-            table = pa.concat_tables([carry, table]).combine_chunks()
-        if not table.num_rows:
-            continue
-        number = numbered(table, keys)
-        end = int(np.searchsorted(number, number[-1]))
-        if end:
-            yield table.slice(0, end).combine_chunks(), number[:end]
-        carry = table.slice(end).combine_chunks()
-    if carry is not None and carry.num_rows:
-        yield carry, numbered(carry, keys)
-
-
-def numbered(table: pa.Table, keys: list[str]) -> np.ndarray:
-    change = np.zeros(table.num_rows, dtype=bool)
-    for key in keys:
-        values = table[key].to_numpy()
-        change[1:] |= values[1:] != values[:-1]
-    return np.cumsum(change)
-
-
 def marked(shared: DataFrame, accepted: DataFrame) -> DataFrame:
     """The seeds that other documents have too, with keys that say more than their hash:
     ``wide`` of the WIDE words from there, and ``link0``, ... of the seeds of each of LINKS, the
@@ -526,37 +530,62 @@ def marked(shared: DataFrame, accepted: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, schema)
 
 
-def among(rows: DataFrame, key: str, is_open: str) -> DataFrame:
-    """The rows with a key that is open in some row, where two documents or more have it."""
-    wanted = written(rows.where(is_open).select(key).distinct())
-    near = held(rows.where(f"{key} IS NOT NULL"), key, wanted).join(wanted, key)
-    spread = near.groupBy(key).agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    return near.join(written(spread.where("low < high").select(key)), key)
+WINDOWS = len(LINKS)  # the kind of key that is no link
+
+
+def asked_keys(rows: DataFrame) -> DataFrame:
+    """kind, key, doc_id, tag, pos, last, open of the rows of :func:`marked` whose key may be
+    open in some row: one scan for the open keys, one for the rows."""
+    names = [(f"link{n}", f"last{n}", f"open{n}") for n in range(len(LINKS))] + [("wide", "pos", "open_wide")]
+    opened = rows.where(" OR ".join(flag for *_, flag in names)).select(
+        F.explode(F.array(*(F.when(F.col(flag), F.col(key)) for key, _, flag in names))).alias("key")
+    )
+    shared = rows.sparkSession.sparkContext.broadcast(bit_filter(opened, "key"))
+
+    def run(docs, tags, places, *columns):
+        for kind in range(len(names)):
+            keys, last, flag = columns[3 * kind : 3 * kind + 3]
+            hashes = keys.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            known = keys.is_valid().to_numpy(zero_copy_only=False)
+            pick = pa.array(np.flatnonzero(known & shared.value.holds(hashes)))
+            if len(pick):
+                yield [
+                    np.full(len(pick), kind, dtype=np.int32), keys.take(pick), docs.take(pick), tags.take(pick),
+                    places.take(pick), last.take(pick), flag.take(pick),
+                ]
+
+    return map_columns(
+        rows, run, "kind int, key long, doc_id long, tag int, pos int, last int, open boolean",
+        F.col("doc_id"), F.col("tag"), F.col("pos"), *(F.col(c) for name in names for c in name),
+    )
 
 
-def linked_matches(rows: DataFrame) -> DataFrame:
+def linked_matches(asked: DataFrame) -> DataFrame:
     """As :func:`matches`, of open links: their first and last seeds, matched with the first
     document and place that have the same link."""
-    found = []
-    for n in range(len(LINKS)):
-        near = written(among(
-            rows.select("doc_id", "tag", "pos", F.col(f"last{n}").alias("last"), F.col(f"link{n}").alias("key"),
-                        F.col(f"open{n}").alias("open")), "key", "open",
-        ))
-        firsts = written(near.groupBy("key").agg(F.min(F.struct("doc_id", "tag", "pos", "last")).alias("at")))
-        pairs = near.where("open").join(firsts, "key").where("doc_id <> at.doc_id")
-        for place in ("pos", "last"):
-            found.append(pairs.select(
-                "doc_id", "tag", F.col("at.doc_id").alias("first_id"), F.col("at.tag").alias("first_tag"),
-                F.col(place).alias("pos"), F.col(f"at.{place}").alias("first_pos"),
-            ))
-    return reduce(DataFrame.union, found).distinct()
-
-
-def open_windows(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    links = asked.where(F.col("kind") < WINDOWS)
+    firsts = links.groupBy("kind", "key").agg(
+        F.min(F.struct("doc_id", "tag", "pos", "last")).alias("at"), F.max("doc_id").alias("high")
+    )
+    pairs = links.where("open").join(written(firsts.where("at.doc_id < high").drop("high")), ["kind", "key"])
+    ends = F.explode(F.array(
+        F.struct(F.col("pos").alias("here"), F.col("at.pos").alias("there")),
+        F.struct(F.col("last").alias("here"), F.col("at.last").alias("there")),
+    ))
+    return pairs.where("doc_id <> at.doc_id").select("doc_id", "tag", "at", ends.alias("end")).select(
+        "doc_id", "tag", F.col("at.doc_id").alias("first_id"), F.col("at.tag").alias("first_tag"),
+        F.col("end.here").alias("pos"), F.col("end.there").alias("first_pos"),
+    ).distinct()
+
+
+def open_windows(docs: DataFrame, asked: DataFrame) -> DataFrame:
     """key, doc_id, tag and start of windows of LEAST words: those around seeds whose WIDE words
     another document has too, if for one of the later documents they reach out of its passages."""
-    near = among(rows.select("doc_id", "tag", "pos", F.col("wide").alias("key"), F.col("open_wide").alias("open")), "key", "open")
+    rows = asked.where(F.col("kind") == WINDOWS).select("key", "doc_id", "tag", "pos", "open")
+    keys = rows.groupBy("key").agg(
+        F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.max("open").alias("any")
+    )
+    near = rows.join(written(keys.where("any AND low < high").select("key")), "key")
     asked = written(near.groupBy("doc_id", "tag").agg(F.sort_array(F.collect_set("pos")).alias("places")))
     texts = held(
         docs.where("doc_id IS NOT NULL").select(
@@ -599,14 +628,21 @@ def uncovered(windows: DataFrame, accepted: DataFrame) -> DataFrame:
     )
 
     def run(batches):
-        for group in groups(batches, ["doc_id", "tag"]):
-            kept = cover(group.select(["first_id", "first_tag", "pos", "first_pos"]).to_pylist())
-            if kept:
-                first_id, first_tag, start, end, first_start = zip(*kept)
+        for table, number in complete(batches, ["doc_id", "tag"]):
+            windows = table["first_id"].combine_chunks().is_valid().to_numpy(zero_copy_only=False)
+            starts, ends = runs_of(number)
+            some = np.add.reduceat(windows, starts) > 0
+            rows = table.select(["first_id", "first_tag", "pos", "first_pos"])
+            owners, found = [], []
+            for a, z in zip(starts[some].tolist(), ends[some].tolist()):
+                for stretch in cover(rows.slice(a, z - a).to_pylist()):
+                    owners.append(a)
+                    found.append(stretch)
+            if found:
+                first_id, first_tag, start, end, first_start = zip(*found)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *(pa.array([group[name][0].as_py()] * len(kept), type=group.schema.field(name).type)
-                          for name in PAIR[:2]),
+                        *(table[name].combine_chunks().take(pa.array(owners)) for name in PAIR[:2]),
                         pa.array(first_id, type=pa.int64()), pa.array(first_tag, type=pa.int32()),
                         pa.array([[s, e - K] for s, e in zip(start, end)], type=pa.list_(pa.int32())),
                         pa.array([[f, f + e - s - K] for s, e, f in zip(start, end, first_start)],
@@ -661,9 +697,10 @@ def passages(docs: DataFrame) -> DataFrame:
         direct = written(aligned(docs, chained(matches(shared))))
         rows = stored(marked(shared, direct), paths[2])
         discard(spark, paths[1])
-        linked = written(aligned(docs, chained(linked_matches(rows))))
+        asked = written(asked_keys(rows))
+        linked = written(aligned(docs, chained(linked_matches(asked))))
         accepted = direct.union(linked)
-        late = written(aligned(docs, uncovered(written(open_windows(docs, rows)), accepted)))
+        late = written(aligned(docs, uncovered(written(open_windows(docs, asked)), accepted)))
     finally:
         for path in paths:
             discard(spark, path)
