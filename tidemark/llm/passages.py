@@ -13,9 +13,9 @@ more; a chain that fails is parted at its widest gap and tried again.
 A hash's first document need not hold the whole passage, nor its first place there.  So where
 seeds of a later document are in no passage and came first in different documents, links of
 two (next to each other, or with one left out) and four of its shared seeds in a row are
-matched as one, with the first document and place that have the same link: that is a star
-again, but only around documents that hold more of the passage.  Links reach over a changed
-word.  Last, where a later document has
+matched as one, with the first document and place that have the same seeds so linked: that is
+a star again, but only around documents that hold more of the passage.  Links reach over a
+changed word, and over a seed that only one of the two places has.  Last, where a later document has
 WIDE words after a seed in common with another and no passage covers them, all windows of
 LEAST words there are matched with the first document and place that hold the same window:
 LEAST equal words in a row are always covered.  A passage with a changed word and without
@@ -60,15 +60,28 @@ WHOLE = (-1).to_bytes(4, "little", signed=True)  # in place of a block number
 LINKS = ((0, 1), (0, 2), (0, 1, 2, 3))  # seeds that are matched together, by their order from one on
 
 
-def minimizers(hashes: np.ndarray) -> np.ndarray:
+def minimizers(hashes: np.ndarray, starts: np.ndarray | None = None, ends: np.ndarray | None = None) -> np.ndarray:
     """Places of the smallest hash of each window: those that are as large as the largest
-    minimum of the windows around them."""
-    if not len(hashes):
+    minimum of the windows around them.  Texts begin and end at ``starts`` and ``ends``; one
+    shorter than a window is a window of its own."""
+    if starts is None:
+        starts, ends = np.array([0]), np.array([len(hashes)])
+    if not len(hashes) or not len(starts):
         return np.empty(0, dtype=np.int64)
-    width = min(WINDOW, len(hashes))
-    edge = np.zeros(width - 1, dtype=np.uint64)
-    minima = np.concatenate([edge, sliding(np.minimum, hashes, width), edge])
-    return np.flatnonzero(sliding(np.maximum, minima, width) == hashes)
+    short = ends - starts < WINDOW
+    small = [
+        a + np.flatnonzero(hashes[a:z] == hashes[a:z].min()) for a, z in zip(starts[short].tolist(), ends[short].tolist())
+    ]
+    if not short.all():
+        minima = sliding(np.minimum, hashes, WINDOW)
+        # Windows that reach from one text into the next do not count.
+        step = np.zeros(len(hashes) + 1, dtype=np.int8)
+        step[starts[~short]] = 1
+        step[ends[~short] - WINDOW + 1] = -1
+        minima *= np.cumsum(step)[: len(minima)].astype(np.uint64)
+        edge = np.zeros(WINDOW - 1, dtype=np.uint64)
+        small.append(np.flatnonzero(sliding(np.maximum, np.concatenate([edge, minima, edge]), WINDOW) == hashes))
+    return np.sort(np.concatenate(small))
 
 
 def sliding(best, values: np.ndarray, width: int) -> np.ndarray:
@@ -79,35 +92,83 @@ def sliding(best, values: np.ndarray, width: int) -> np.ndarray:
     return best(values[: size - width], values[width - size :]) if size < width else values
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, remembered."""
+def stirred(mixed: np.ndarray) -> np.ndarray:
+    return (mixed ^ (mixed >> np.uint64(29))) * MIX
 
-    MOST = 1 << 18
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > self.MOST:
-            self.clear()
-        self[word] = value = xxhash.xxh64_intdigest(word)
-        return value
+BLANKS = np.isin(np.arange(256), list(b" \t\n\v\f\r"))  # where bytes.split() cuts
+PIECE = 1 << 16  # bytes hashed together
+BASE = int(MIX)
+LETTERS = stirred(stirred(np.arange(1, 257, dtype=np.uint64) * MIX))
+POWERS, INVERSE = (
+    np.cumprod(np.full(PIECE, base, dtype=np.uint64)) for base in (BASE, pow(BASE, -1, 1 << 64))
+)
 
 
-def stirred(mixed: np.ndarray) -> np.ndarray:
-    return (mixed ^ (mixed >> np.uint64(29))) * MIX
+def word_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of a text, A-Z lower-cased, and the bytes they begin at.
 
+    The hash is a polynomial of the letters' values, so that differences of running sums give
+    those of all words of a piece at once.  A word longer than a piece is hashed by itself.
+    """
+    text = text.lower()
+    letters = np.frombuffer(text, dtype=np.uint8)
+    blank = np.ones(len(letters) + 2, dtype=bool)
+    blank[1:-1] = BLANKS[letters]
+    edges = np.flatnonzero(blank[1:] != blank[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    hashes = np.empty(len(starts), dtype=np.uint64)
+    low = 0
+    while low < len(starts):
+        begin = int(starts[low])
+        high = int(np.searchsorted(ends, begin + PIECE, side="right"))
+        if high == low:
+            hashes[low] = xxhash.xxh64_intdigest(text[begin : int(ends[low])])
+            low += 1
+            continue
+        piece = letters[begin : int(ends[high - 1])]
+        sums = np.zeros(len(piece) + 1, dtype=np.uint64)
+        np.cumsum(LETTERS[piece] * POWERS[: len(piece)], out=sums[1:])
+        at = starts[low:high] - begin
+        hashes[low:high] = (sums[ends[low:high] - begin] - sums[at]) * INVERSE[at]
+        low = high
+    return hashes, starts
 
-def gram_hashes(words: list[bytes], known: WordHashes) -> np.ndarray | None:
-    """Hashes of every K words in a row, put together from those of the words; None if there
+
+def gram_hashes(one: np.ndarray) -> np.ndarray:
+    """Hashes of every K words in a row, put together from those of the words; none if there
     are fewer words."""
-    if len(words) < K:
-        return None
-    one = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
-    n = len(words) - K + 1
+    n = max(len(one) - K + 1, 0)
     mixed = np.zeros(n, dtype=np.uint64)
     for i in range(K):
         mixed = stirred(mixed) + one[i : i + n]
     return stirred(mixed)
 
 
+def together(texts: Iterator[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Several texts at once, PIECE bytes or one text: the numbers of those with K words or
+    more, the hashes of every K words in a row, and where those of each text begin and end (what
+    lies between reaches from one text into the next)."""
+
+    def grams(numbers, parts):
+        one, at = word_hashes(b" ".join(parts))
+        begins = np.cumsum([0] + [len(part) + 1 for part in parts])
+        firsts = np.searchsorted(at, begins)
+        several = np.diff(firsts) >= K
+        return np.array(numbers)[several], gram_hashes(one), firsts[:-1][several], firsts[1:][several] - K + 1
+
+    numbers, parts, size = [], [], 0
+    for number, text in enumerate(texts):
+        numbers.append(number)
+        parts.append(text)
+        size += len(text)
+        if size >= PIECE:
+            yield grams(numbers, parts)
+            numbers, parts, size = [], [], 0
+    if parts:
+        yield grams(numbers, parts)
+
+
 def spans(hashes: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
     """Hashes of ``length`` words from each place, put together from those of the k-mers."""
     mixed = np.zeros(len(places), dtype=np.uint64)
@@ -121,26 +182,18 @@ def seeds(docs: DataFrame) -> DataFrame:
     from there (32 bits, used beside ``hash``), null where fewer are left."""
 
     def found(ids, tags, texts):
-        parts, known = [], WordHashes()
-        for doc, mark, text in zip(ids.to_pylist(), tags.to_pylist(), utf8(texts)):
-            hashes = gram_hashes(text.lower().split(), known)
-            if hashes is not None:
-                places = minimizers(hashes)
-                n = int(np.searchsorted(places, len(hashes) - (WIDE - K)))
+        for numbers, hashes, starts, ends in together(utf8(texts)):
+            places = minimizers(hashes, starts, ends)
+            if len(places):
+                text = np.searchsorted(starts, places, side="right") - 1
+                long = places < ends[text] - (WIDE - K)
                 wide = np.zeros(len(places), dtype=np.uint32)
-                wide[:n] = spans(hashes, places[:n], WIDE) >> np.uint64(32)
-                parts.append((doc, mark, places, hashes[places], wide, np.arange(len(places)) >= n))
-        if parts:
-            counts = [len(p[2]) for p in parts]
-            yield [
-                np.concatenate([p[3] for p in parts]).view(np.int64),
-                np.repeat(np.array([p[0] for p in parts], dtype=np.int64), counts),
-                np.repeat(np.array([p[1] for p in parts], dtype=np.int32), counts),
-                np.concatenate([p[2] for p in parts]).astype(np.int32),
-                pa.array(
-                    np.concatenate([p[4] for p in parts]).view(np.int32), mask=np.concatenate([p[5] for p in parts])
-                ),
-            ]
+                wide[long] = spans(hashes, places[long], WIDE) >> np.uint64(32)
+                pick = pa.array(numbers[text])
+                yield [
+                    hashes[places].view(np.int64), ids.take(pick), tags.take(pick),
+                    (places - starts[text]).astype(np.int32), pa.array(wide.view(np.int32), mask=~long),
+                ]
 
     return map_columns(
         docs.where("doc_id IS NOT NULL"), found, "hash long, doc_id long, tag int, pos int, wide int",
@@ -352,12 +405,18 @@ def blocks(docs: DataFrame, asked: DataFrame) -> DataFrame:
 def extend(a: list, i: int, b: list, j: int, step: int, change: int = CHANGE) -> int:
     """How many words both sides go on together from i and j: equal words with changes
     between, as far as the score is best."""
-    best = score = n = taken = 0
-    while 0 <= i < len(a) and 0 <= j < len(b) and score > best - DROP:
-        score += 1 if a[i] == b[j] else -change
-        n, i, j = n + 1, i + step, j + step
-        if score > best:
-            best, taken = score, n
+    most = max(0, min((len(a) - i, len(b) - j) if step > 0 else (i + 1, j + 1)))
+    best = score = taken = 0
+    ours, theirs = (map(w.__getitem__, range(at, at + step * most, step)) for w, at in ((a, i), (b, j)))
+    for n, (one, two) in enumerate(zip(ours, theirs), 1):
+        if one == two:
+            score += 1
+            if score > best:
+                best, taken = score, n
+        else:
+            score -= change
+            if score <= best - DROP:
+                break
     return taken
 
 
@@ -365,7 +424,7 @@ def alike(one: list, two: list) -> float:
     """Jaccard similarity of the K-word shingles."""
     if one == two:
         return 1.0
-    one, two = ({tuple(w[i : i + K]) for i in range(len(w) - K + 1)} for w in (one, two))
+    one, two = (set(zip(*(w[i:] for i in range(K)))) for w in (one, two))
     return len(one & two) / len(one | two)
 
 
@@ -564,10 +623,11 @@ def linked_matches(asked: DataFrame) -> DataFrame:
     """As :func:`matches`, of open links: their first and last seeds, matched with the first
     document and place that have the same link."""
     links = asked.where(F.col("kind") < WINDOWS)
-    firsts = links.groupBy("kind", "key").agg(
+    # Two seeds next to each other here may have one between them there, so kinds do not matter.
+    firsts = links.groupBy("key").agg(
         F.min(F.struct("doc_id", "tag", "pos", "last")).alias("at"), F.max("doc_id").alias("high")
     )
-    pairs = links.where("open").join(written(firsts.where("at.doc_id < high").drop("high")), ["kind", "key"])
+    pairs = links.where("open").join(written(firsts.where("at.doc_id < high").drop("high")), "key")
     ends = F.explode(F.array(
         F.struct(F.col("pos").alias("here"), F.col("at.pos").alias("there")),
         F.struct(F.col("last").alias("here"), F.col("at.last").alias("there")),
@@ -595,17 +655,20 @@ def open_windows(docs: DataFrame, asked: DataFrame) -> DataFrame:
     )
 
     def cut(ids, tags, places, texts):
-        known = WordHashes()
-        for doc, mark, near, text in zip(ids.to_pylist(), tags.to_pylist(), places.to_pylist(), utf8(texts)):
-            words = text.lower().split()
-            near = np.array(near)
-            starts = np.unique(near[:, None] - np.arange(WINDOW)[None, :])
-            starts = starts[(starts >= 0) & (starts <= len(words) - LEAST)]
+        for doc, mark, near, text in zip(ids.to_pylist(), tags.to_pylist(), places, utf8(texts)):
+            near = near.values.to_numpy()
+            low = max(int(near[0]) - WINDOW + 1, 0)
+            hashes = gram_hashes(word_hashes(text)[0][low : int(near[-1]) + LEAST])
+            n = len(hashes) - (LEAST - K)
+            if n <= 0:
+                continue
+            seeded = np.zeros(n + WINDOW - 1, dtype=bool)
+            seeded[(near - low)[near - low < len(seeded)]] = True
+            starts = np.flatnonzero(sliding(np.maximum, seeded, WINDOW))
             if len(starts):
-                keys = spans(gram_hashes(words, known), starts, LEAST)
                 yield [
-                    keys.view(np.int64), np.full(len(starts), doc, dtype=np.int64),
-                    np.full(len(starts), mark, dtype=np.int32), starts.astype(np.int32),
+                    spans(hashes, starts, LEAST).view(np.int64), np.full(len(starts), doc, dtype=np.int64),
+                    np.full(len(starts), mark, dtype=np.int32), (starts + low).astype(np.int32),
                 ]
 
     return map_columns(
@@ -629,15 +692,25 @@ def uncovered(windows: DataFrame, accepted: DataFrame) -> DataFrame:
 
     def run(batches):
         for table, number in complete(batches, ["doc_id", "tag"]):
-            windows = table["first_id"].combine_chunks().is_valid().to_numpy(zero_copy_only=False)
-            starts, ends = runs_of(number)
-            some = np.add.reduceat(windows, starts) > 0
-            rows = table.select(["first_id", "first_tag", "pos", "first_pos"])
+            column = {name: table[name].combine_chunks() for name in table.column_names}
+            windows = column["first_id"].is_valid().to_numpy(zero_copy_only=False)
+            column = {name: values.fill_null(0).to_numpy() for name, values in column.items()}
+            before = np.flatnonzero(~windows)
+            before = before[np.lexsort((column["pos"][before], number[before]))]
+            runs = equal_runs(number, column, np.flatnonzero(windows))
+            # Runs and passages of each document, numbered as the documents are.
+            groups = np.arange(number[-1] + 2)
+            cuts = np.searchsorted(number[runs["row"]], groups).tolist()
+            known = np.searchsorted(number[before], groups).tolist()
+            reached = list(zip(column["pos"][before].tolist(), column["first_pos"][before].tolist()))
+            stretches = list(zip(*(runs[name].tolist() for name in ("row", "start", "end", "first_start"))))
             owners, found = [], []
-            for a, z in zip(starts[some].tolist(), ends[some].tolist()):
-                for stretch in cover(rows.slice(a, z - a).to_pylist()):
-                    owners.append(a)
-                    found.append(stretch)
+            for group in np.flatnonzero(np.diff(cuts)).tolist():
+                for row, *stretch in cover(
+                    stretches[cuts[group] : cuts[group + 1]], reached[known[group] : known[group + 1]]
+                ):
+                    owners.append(row)
+                    found.append((int(column["first_id"][row]), int(column["first_tag"][row]), *stretch))
             if found:
                 first_id, first_tag, start, end, first_start = zip(*found)
                 yield pa.RecordBatch.from_arrays(
@@ -656,34 +729,42 @@ def uncovered(windows: DataFrame, accepted: DataFrame) -> DataFrame:
     )
 
 
-def cover(rows: list[dict]) -> list[tuple]:
-    """(first_id, first_tag, start, end, first_start) of stretches of equal windows, as few as
-    cover each word that is in any; ``rows`` without first_id are passages found before."""
-    before = sorted((r["pos"], r["first_pos"]) for r in rows if r["first_id"] is None)
-    runs, last = [], None
-    for r in sorted(
-        (r for r in rows if r["first_id"] is not None),
-        key=lambda r: (r["first_id"], r["first_tag"], r["pos"] - r["first_pos"], r["pos"]),
-    ):
-        line = (r["first_id"], r["first_tag"], r["pos"] - r["first_pos"])
-        if line == last and r["pos"] <= runs[-1][3]:
-            runs[-1][3] = r["pos"] + LEAST
-        else:
-            runs.append([r["first_id"], r["first_tag"], r["pos"], r["pos"] + LEAST, r["first_pos"]])
-        last = line
+def equal_runs(number: np.ndarray, column: dict[str, np.ndarray], rows: np.ndarray) -> dict[str, np.ndarray]:
+    """Windows (``rows`` of ``column``) that go on from each other, in the same two documents,
+    as one: its first row, start, end and first_start; by document, then by start, the longest first."""
+    shift = column["pos"] - column["first_pos"]
+    line = (number, column["first_id"], column["first_tag"], shift)
+    rows = rows[np.lexsort((column["pos"][rows], *(values[rows] for values in reversed(line))))]
+    pos, new = column["pos"][rows], np.ones(len(rows), dtype=bool)
+    new[1:] = np.diff(pos) > LEAST
+    for values in line:
+        new[1:] |= np.diff(values[rows]) != 0
+    first = np.flatnonzero(new)
+    end = pos[np.append(first[1:], len(rows))[: len(first)] - 1] + LEAST
+    rows, start = rows[first], pos[first]
+    order = np.lexsort((-end, start, number[rows]))
+    return {
+        "row": rows[order], "start": start[order], "end": end[order], "first_start": column["first_pos"][rows][order],
+    }
+
+
+def cover(runs: list[tuple], before: list[tuple]) -> list[tuple]:
+    """The ``runs`` (row, start, end, first_start), as few as cover each word that is in any and
+    in no passage found ``before`` (start, end); both sorted by start."""
     kept, best, reach, covered, i = [], None, -1, -1, 0
-    for r in sorted(runs, key=lambda r: (r[2], -r[3])):
-        while i < len(before) and before[i][0] <= r[2]:
+    for run in runs:
+        _, start, end, _ = run
+        while i < len(before) and before[i][0] <= start:
             covered = max(covered, before[i][1])
             i += 1
-        if r[3] <= max(covered, reach):
+        if end <= max(covered, reach):
             continue
-        if best is not None and r[2] > reach:
-            kept.append(tuple(best))
-            reach, best = best[3], None
-        if r[3] > reach and (best is None or r[3] > best[3]):
-            best = r
-    return [*kept, tuple(best)] if best is not None else kept
+        if best is not None and start > reach:
+            kept.append(best)
+            reach, best = best[2], None
+        if end > reach and (best is None or end > best[2]):
+            best = run
+    return [*kept, best] if best is not None else kept
 
 
 def passages(docs: DataFrame) -> DataFrame:
