@@ -434,11 +434,14 @@ def align(a: list, a_first: int, b: list, b_first: int, pos: np.ndarray, rep: np
     todo = [(pos, rep)]
     while todo:
         pos, rep = todo.pop()
-        for change in (CHANGE, DROP):  # with DROP an extension ends at the first change
-            back = extend(a, int(pos[0]) - a_first - 1, b, int(rep[0]) - b_first - 1, -1, change)
-            on = extend(a, int(pos[-1]) - a_first + K, b, int(rep[-1]) - b_first + K, 1, change)
-            start, end = int(pos[0]) - back, int(pos[-1]) + K + on
-            first_start, first_end = int(rep[0]) - back, int(rep[-1]) + K + on
+        back, on = (
+            [extend(a, i - a_first, b, j - b_first, step, change) for change in (CHANGE, DROP)]  # DROP: to the first change
+            for i, j, step in ((int(pos[0]) - 1, int(rep[0]) - 1, -1), (int(pos[-1]) + K, int(rep[-1]) + K, 1))
+        )
+        # Both ends over changes, else one of them, else none.
+        for less, more in dict.fromkeys((less, more) for less in back for more in on):
+            start, end = int(pos[0]) - less, int(pos[-1]) + K + more
+            first_start, first_end = int(rep[0]) - less, int(rep[-1]) + K + more
             if min(end - start, first_end - first_start) < LEAST:
                 continue
             similarity = alike(a[start - a_first : end - a_first], b[first_start - b_first : first_end - b_first])
