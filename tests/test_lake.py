@@ -19,7 +19,7 @@ from tidemark.plans import leadtime
 from tidemark.plans.leadtime import HISTORICAL, LEG_TABLE, bronze_sources, judge_tabs, source_log
 from tidemark.sources.erp import JdbcErp, cut_query, range_conditions
 from tidemark.sources.files import BadMaster, read_master, read_phases
-from tidemark.sources.lake import Lake
+from tidemark.sources.lake import Lake, Landing
 
 TS = datetime(2026, 1, 2, 3, 4, 5, tzinfo=timezone.utc)
 
@@ -321,3 +321,16 @@ def test_runs_of_one_file_in_small_batches(spark, folder):
         ]
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_a_log_is_written_by_as_many_tasks_as_its_rows_have(spark, lake):
+    rows = spark.range(1000).repartition(5).select(F.col("id").alias("rows"))
+    lake.append("many", rows)
+    assert len(set(lake.log("many", "rows bigint").inputFiles())) == 5
+
+
+def test_rows_of_the_manifest_may_be_judged_before_the_newest_is_picked(spark, lake):
+    for rows, run in ((1, "a"), (2, "b")):
+        lake.record([Landing("bronze", "t", ["x"] * rows, [], "{}", run, rows, TS + timedelta(days=rows))])
+    newest = lake.newest("bronze", lambda log: log.select("table_name", "landed_at", "run", F.size("columns").alias("n")))
+    assert [(r.table_name, r.n) for r in newest.collect()] == [("t", 2)]

@@ -280,9 +280,13 @@ def classify_tables(
     for suffix in fixed.SKIPPED_SUFFIXES:
         excluded = excluded | lowered.endswith(suffix)
 
-    covered = F.lit(True)
-    for group in required_groups:
-        covered = covered & F.arrays_overlap("columns", F.array(*map(F.lit, group)))
+    # One pass for all columns that have one name; a test per column is too much code to be compiled.
+    groups = list(required_groups)
+    sole = [F.lit(group[0]) for group in groups if len(group) == 1]
+    covered = F.size(F.array_except(F.array(*sole), "columns")) == 0 if sole else F.lit(True)
+    for group in groups:
+        if len(group) != 1:
+            covered = covered & F.arrays_overlap("columns", F.array(*map(F.lit, group)))
 
     def part(i: int) -> Column:
         text = F.nullif(F.regexp_extract(name, fixed.PERIOD_PATTERN, i), F.lit(""))
