@@ -8,6 +8,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.dates import day_text
+from tidemark.plans.inputs import _day_form
 from tidemark import fixed_values as fixed
 from tidemark.functions import dates, numbers, text
 from tidemark.plans.leadtime import build_calendar
@@ -210,3 +212,14 @@ def test_days_between_is_inclusive(spark):
     bounds = spark.range(1)
     days = dates.days_between(bounds, F.lit(DAY), F.lit(DAY + timedelta(days=2)))
     assert [r[0] for r in days.collect()] == [DAY + timedelta(days=i) for i in range(3)]
+
+
+def test_days_as_text_are_what_a_cast_and_a_format_give(spark):
+    days = ["0001-01-01", "0999-12-31", "1000-01-01", "1995-02-03", "9999-12-31", "+10000-01-01", None]
+    rows = spark.createDataFrame([(d,) for d in days], "d string").select(F.col("d").cast("date").alias("d"))
+    forms = ["M/d/yyyy", "MM-dd-yyyy", "yyyy-MM-dd"]
+    got = rows.select(
+        day_text(F.col("d")).eqNullSafe(F.col("d").cast("string")).alias("text"),
+        *[_day_form(F.col("d"), f).eqNullSafe(F.date_format("d", f)).alias(f) for f in forms],
+    )
+    assert all(all(row) for row in got.collect())

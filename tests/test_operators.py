@@ -99,6 +99,14 @@ def test_ranking_is_limited_before_the_shuffle(spark):
     assert "WindowGroupLimit" in before_shuffle and "Partial" in before_shuffle
 
 
+def test_ranking_sorts_by_a_hash_of_the_key_first(spark):
+    rows = spark.createDataFrame([("a", None, 2), ("a", None, 1), (None, 0.0, 3), (None, -0.0, 4)], "k string, x double, v int")
+    kept = keep_first(rows, ["k", "x"], {"v": "asc"})
+    sorts = re.findall(r"Sort \[(\S+)", kept._jdf.queryExecution().executedPlan().toString())
+    assert sorts and all("w0" in s or "hash" in s for s in sorts)
+    assert sorted(r.v for r in kept.collect()) == [1, 3]
+
+
 # ---------------------------------------------------------------- lookups
 
 

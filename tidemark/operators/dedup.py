@@ -20,7 +20,8 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Mapping[str, str]) ->
     ``order`` maps columns to ``asc`` or ``desc``, NULLs last either way.  All other
     columns break ties, so the result does not depend on how rows are spread over
     tasks.  Ranking is limited to one row per key before the shuffle too, so a key
-    holding a large share of the rows sends one row per map task.
+    holding a large share of the rows sends one row per map task.  Both sorts begin with
+    a hash of the key, so that two rows are mostly told apart by one number.
     """
     settled = {*keys, *order}
     ties = {
@@ -28,7 +29,8 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Mapping[str, str]) ->
         for field in df.schema
         if field.name not in settled and not isinstance(field.dataType, (T.MapType, T.VariantType))
     }
-    window = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(
+    key = [F.col(f"`{k}`") for k in keys]
+    window = Window.partitionBy(F.xxhash64(*key), *key).orderBy(
         *[_order(name, direction) for name, direction in {**order, **ties}.items()]
     )
     return df.withColumn("__rank", F.row_number().over(window)).filter("__rank = 1").drop("__rank")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tidemark import fixed_values as fixed
 from tidemark.functions.text import code_text
 from tidemark.operators.drift import SourceSpec
+from tidemark.session import limit_methods
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -123,6 +124,20 @@ def _leg_columns() -> dict[str, Column]:
     }
 
 
+def _day_form(day: Column, form: str) -> Column:
+    """``date_format``, for two forms without its formatter where the year has four digits."""
+    slow = F.date_format(day, form)
+    if form == "M/d/yyyy":
+        parts = [F.month(day).cast("string"), F.dayofmonth(day).cast("string"), F.year(day).cast("string")]
+        fast = F.concat(parts[0], F.lit("/"), parts[1], F.lit("/"), parts[2])
+    elif form == "MM-dd-yyyy":
+        number = (F.month(day) * 1000000 + F.dayofmonth(day) * 10000 + F.year(day) + 100000000).cast("string")
+        fast = F.concat(F.substring(number, 2, 2), F.lit("-"), F.substring(number, 4, 2), F.lit("-"), F.substring(number, 6, 4))
+    else:
+        return slow
+    return F.when(F.year(day).between(1000, 9999), fast).otherwise(slow)
+
+
 def _template(leg: dict[str, Column], template: int) -> dict[str, Column]:
     """The columns of one template, under the names and in the formats it used."""
     passed = [
@@ -134,7 +149,7 @@ def _template(leg: dict[str, Column], template: int) -> dict[str, Column]:
     table = {name: leg[name] for name in passed}
 
     def text(name: str, form: str, missing: str = "") -> Column:
-        return F.coalesce(F.date_format(leg[name], form), F.lit(missing))
+        return F.coalesce(_day_form(leg[name], form), F.lit(missing))
 
     table["wh" if template < 5 else "whr"] = leg["wh"]
     table["min_max_xfty" if template < 3 else "max_min_xfty"] = leg["xfty_range"]
@@ -176,6 +191,7 @@ def _template(leg: dict[str, Column], template: int) -> dict[str, Column]:
 
 def bronze_legs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Drifted Bronze tables that together hold every line item."""
+    limit_methods(spark)
     items = read(spark, sf_dir, "lineitem")
     shipped, day = F.col("l_shipdate"), "timestamp_ntz"
     leg = _leg_columns()

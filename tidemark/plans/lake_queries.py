@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from datetime import timedelta
 from functools import reduce
 
@@ -99,7 +100,8 @@ def _landed_legs(spark: SparkSession, sf_dir: str) -> Lake:
     tables = bronze_legs(spark, sf_dir)
     first = next(iter(tables))
     lake.record([lake.land("bronze", first, tables[first].limit(1).drop("etd"), RUN_TS - timedelta(days=1))])
-    lake.record([lake.land("bronze", name, table, RUN_TS) for name, table in tables.items()])
+    with ThreadPoolExecutor(4) as pool:
+        lake.record(list(pool.map(lambda item: lake.land("bronze", *item, RUN_TS), tables.items())))
     return lake
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.dates import day_text
 from tidemark.operators.landing import quoted
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,7 +23,9 @@ def comparable(df: DataFrame) -> DataFrame:
     columns = []
     for field in df.schema:
         column = quoted(field.name)
-        if isinstance(field.dataType, (T.DateType, T.DecimalType)):
+        if isinstance(field.dataType, T.DateType):
+            column = day_text(column)
+        elif isinstance(field.dataType, T.DecimalType):
             column = column.cast("string")
         elif isinstance(field.dataType, T.TimestampType):
             column = F.unix_micros(column)
