@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fixed
+from tidemark.functions.dates import DAYS, MONTHS, YEARS, part_text
 from tidemark.functions.text import code_text
 from tidemark.operators.drift import SourceSpec
 from tidemark.session import limit_methods
@@ -106,7 +107,7 @@ def _leg_columns() -> dict[str, Column]:
         "pos_consolidation_to_gate_in": _hundredths("l_tax"),
         "gate_in": F.when(~((flag == "R") & (F.col("l_linestatus") == "F")), _days(-3)),
         "gate_in_to_etd": F.col("l_quantity"),
-        "etd": F.date_trunc("month", "l_shipdate").cast("timestamp_ntz"),
+        "etd": F.trunc(F.col("l_shipdate").cast("date"), "month").cast("timestamp_ntz"),
         "etd_to_eta": F.col("l_linenumber").cast("double"),
         "eta": _days(20),
         "eta_to_delivery": F.col("l_quantity") + 1,
@@ -125,17 +126,15 @@ def _leg_columns() -> dict[str, Column]:
 
 
 def _day_form(day: Column, form: str) -> Column:
-    """``date_format``, for two forms without its formatter where the year has four digits."""
-    slow = F.date_format(day, form)
+    """``date_format``, for two forms without its formatter where the year is in YEARS."""
+    slow, year = F.date_format(day, form), part_text(F.year(day), YEARS, "%d")
     if form == "M/d/yyyy":
-        parts = [F.month(day).cast("string"), F.dayofmonth(day).cast("string"), F.year(day).cast("string")]
-        fast = F.concat(parts[0], F.lit("/"), parts[1], F.lit("/"), parts[2])
+        parts = [part_text(F.month(day), MONTHS, "%d"), part_text(F.dayofmonth(day), DAYS, "/%d/"), year]
     elif form == "MM-dd-yyyy":
-        number = (F.month(day) * 1000000 + F.dayofmonth(day) * 10000 + F.year(day) + 100000000).cast("string")
-        fast = F.concat(F.substring(number, 2, 2), F.lit("-"), F.substring(number, 4, 2), F.lit("-"), F.substring(number, 6, 4))
+        parts = [part_text(F.month(day), MONTHS, "%02d"), part_text(F.dayofmonth(day), DAYS, "-%02d-"), year]
     else:
         return slow
-    return F.when(F.year(day).between(1000, 9999), fast).otherwise(slow)
+    return F.coalesce(F.concat(*parts), slow)
 
 
 def _template(leg: dict[str, Column], template: int) -> dict[str, Column]:
