@@ -245,3 +245,27 @@ def test_recall_against_all_pairs(spark):
     late = {i for i, _ in truth}
     assert len(late) > 30 and len({i for i, _ in pairs} & late) >= 0.9 * len(late)
     assert len(pairs - truth) <= 0.05 * len(pairs)
+
+
+def test_chains_that_are_parted_number_their_shingles_once(monkeypatch):
+    """Many changes part a chain again and again; what it gives is as by comparison of shingle sets."""
+    rng = random.Random(5)
+    calls, numbered = [], op.shingles
+    monkeypatch.setattr(op, "shingles", lambda a, b: calls.append(1) or numbered(a, b))
+    several = found = 0
+    for _ in range(200):
+        a = [b"w%d" % rng.randrange(40) for _ in range(300)]
+        b = [b"x" if rng.random() < rng.choice([0.0, 0.01, 0.05]) else w for w in a]
+        pos = np.array(sorted(rng.sample(range(296), 30)))
+        pos = pos[[a[p : p + op.K] == b[p : p + op.K] for p in pos.tolist()]]
+        calls.clear()
+        for start, end, first_start, first_end, similarity in op.align(a, 0, b, 0, pos, pos) if len(pos) > 1 else ():
+            one, two = (
+                {tuple(w[i : i + op.K]) for i in range(low, high - op.K + 1)}
+                for w, low, high in ((a, start, end), (b, first_start, first_end))
+            )
+            assert similarity == len(one & two) / len(one | two) >= op.SIMILAR
+            found += 1
+        assert len(calls) <= 1
+        several += len(calls)
+    assert several > 20 and found > 100

@@ -35,6 +35,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from itertools import compress, count
+from operator import ne
 
 import numpy as np
 import pyarrow as pa
@@ -406,13 +408,14 @@ def extend(a: list, i: int, b: list, j: int, step: int, change: int = CHANGE) ->
     """How many words both sides go on together from i and j: equal words with changes
     between, as far as the score is best."""
     most = max(0, min((len(a) - i, len(b) - j) if step > 0 else (i + 1, j + 1)))
-    best = score = taken = 0
-    ours, theirs = (map(w.__getitem__, range(at, at + step * most, step)) for w, at in ((a, i), (b, j)))
-    for n, (one, two) in enumerate(zip(ours, theirs), 1):
-        if one == two:
+    ours, theirs = (w[at : at + most] if step > 0 else w[at + 1 - most : at + 1][::-1] for w, at in ((a, i), (b, j)))
+    # Up to the first change there is nothing to weigh.
+    best = score = taken = next(compress(count(), map(ne, ours, theirs)), most)
+    for n in range(taken, most):
+        if ours[n] == theirs[n]:
             score += 1
             if score > best:
-                best, taken = score, n
+                best, taken = score, n + 1
         else:
             score -= change
             if score <= best - DROP:
@@ -420,18 +423,16 @@ def extend(a: list, i: int, b: list, j: int, step: int, change: int = CHANGE) ->
     return taken
 
 
-def alike(one: list, two: list) -> float:
-    """Jaccard similarity of the K-word shingles."""
-    if one == two:
-        return 1.0
-    one, two = (set(zip(*(w[i:] for i in range(K)))) for w in (one, two))
-    return len(one & two) / len(one | two)
+def shingles(a: list, b: list) -> list[list[int]]:
+    """The K-word shingles of both sides as numbers, equal ones with the same."""
+    number: dict[tuple, int] = {}
+    return [[number.setdefault(shingle, len(number)) for shingle in zip(*(w[i:] for i in range(K)))] for w in (a, b)]
 
 
 def align(a: list, a_first: int, b: list, b_first: int, pos: np.ndarray, rep: np.ndarray) -> Iterator[tuple]:
     """(start, end, first_start, first_end, similarity) of the passages along a chain; ``a``
     and ``b`` hold the words from ``a_first`` and ``b_first`` on."""
-    todo = [(pos, rep)]
+    todo, numbers = [(pos, rep)], None
     while todo:
         pos, rep = todo.pop()
         back, on = (
@@ -444,7 +445,15 @@ def align(a: list, a_first: int, b: list, b_first: int, pos: np.ndarray, rep: np
             first_start, first_end = int(rep[0]) - less, int(rep[-1]) + K + more
             if min(end - start, first_end - first_start) < LEAST:
                 continue
-            similarity = alike(a[start - a_first : end - a_first], b[first_start - b_first : first_end - b_first])
+            ours, theirs = (start - a_first, end - a_first), (first_start - b_first, first_end - b_first)
+            if a[slice(*ours)] == b[slice(*theirs)]:
+                similarity = 1.0
+            else:
+                # Numbered once for all that is tried along the chain.
+                numbers = numbers or shingles(a, b)
+                one, two = (set(w[low : high - K + 1]) for w, (low, high) in zip(numbers, (ours, theirs)))
+                shared = len(one & two)
+                similarity = shared / (len(one) + len(two) - shared)  # Jaccard
             if similarity >= SIMILAR:
                 yield start, end, first_start, first_end, similarity
                 break
