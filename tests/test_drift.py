@@ -17,6 +17,7 @@ from tidemark.operators.drift import (
     discover_sources,
     missing_groups,
 )
+from tidemark.plans.inputs import bronze_legs
 from tidemark.plans.leadtime import (
     HISTORICAL,
     LEG_TABLE,
@@ -255,3 +256,26 @@ def test_templates_align_to_the_same_canonical_rows(spark):
     ]
     aligned = [align(df, LEG_TABLE, ANY) for df in drifted]
     assert reduce(lambda a, b: a.union(b), aligned).distinct().count() == 5
+
+
+def test_aligned_rows_are_made_once(spark):
+    """Dates that a guard reads too do not take a projection of their own."""
+    source = SourceSpec("2024_Q1", "t", date(2024, 1, 1), date(2025, 1, 1))
+    rows = [bronze_row(p_u="1/30/2024"), bronze_row(p_u="n/a"), bronze_row(etd=None)]
+    legs = align(bronze_table(spark, rows), LEG_TABLE, source)
+    plan = legs._jdf.queryExecution().optimizedPlan().toString()
+    assert sum(line.lstrip(" :+-").startswith("Project [") for line in plan.split("\n")) == 1
+    # The window holds no leg without a date; durations to an unknown pick-up are dropped.
+    assert sorted((str(r.p_u), r.eta_to_delivery) for r in legs.collect()) == [("2024-01-30", 5.0), ("None", None)]
+
+
+def test_shaped_tables_keep_the_scan_apart(spark, tmp_path):
+    """Scan and filter of a drifted table are followed by a step that ends their method."""
+    spark.sql(
+        "SELECT 1L l_orderkey, 2L l_partkey, 3L l_suppkey, 4 l_linenumber, 1.0D l_quantity, 2.0D l_extendedprice,"
+        " 0.1D l_discount, 0.2D l_tax, 'A' l_returnflag, 'F' l_linestatus, TIMESTAMP_NTZ'1996-05-06 00:00:00' l_shipdate"
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    for table in bronze_legs(spark, str(tmp_path)).values():
+        plan = table._jdf.queryExecution().executedPlan().toString()
+        assert plan.index("Project") < plan.index("Coalesce") < plan.index("Filter")
+        assert table.rdd.getNumPartitions() == 1

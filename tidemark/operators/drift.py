@@ -111,12 +111,13 @@ def _in_window(source: Column, data_type: T.DataType, day: Column, spec: SourceS
     typed = isinstance(data_type, (T.DateType, T.TimestampType, T.TimestampNTZType))
     value = source if typed else day
     bound = data_type if typed else T.DateType()
-    condition = value.isNotNull()
+    # A bound keeps no NULL either, and each use may take the value again.
+    bounds = []
     if spec.start is not None:
-        condition = condition & (value >= F.lit(spec.start).cast(bound))
+        bounds.append(value >= F.lit(spec.start).cast(bound))
     if spec.end is not None:
-        condition = condition & (value < F.lit(spec.end).cast(bound))
-    return condition
+        bounds.append(value < F.lit(spec.end).cast(bound))
+    return reduce(Column.__and__, bounds) if bounds else value.isNotNull()
 
 
 def align(df: DataFrame, spec: TableSpec, source: SourceSpec) -> DataFrame:
@@ -141,7 +142,7 @@ def _aligned(
     types = {field.name.lower(): field.dataType for field in df.schema}
     legacy = spec.legacy_marker is not None and spec.legacy_marker in by_lower
 
-    columns, present = [], set()
+    values, present = {}, set()
     for column in spec.columns:
         candidates = column.legacy if legacy and column.legacy else column.sources
         found = pick(by_lower, candidates)
@@ -152,7 +153,7 @@ def _aligned(
         else:
             value = _typed(quoted(by_lower[found]), types[found], column, spec.min_valid_date)
             present.add(column.name)
-        columns.append(value.alias(column.name))
+        values[column.name] = value
 
     if in_window is not None:
         window = next(c for c in spec.columns if c.name == spec.window_column)
@@ -160,17 +161,17 @@ def _aligned(
         raw = quoted(by_lower[found])
         df = df.filter(in_window(raw, types[found], parse_date(raw, types[found])))
 
-    # Dates are parsed once, in this projection; the guards read the parsed columns.
+    # One projection, so that rows are made once; it takes a date that a guard reads only once.
     # A date the source does not have at all guards nothing.
-    parsed = df.select(*columns, period.alias(PERIOD_MARK))
-    period = F.col(PERIOD_MARK)
     guarded = [
-        between_dates(F.col(c.name), *(F.col(d) for d in c.spans)).alias(c.name)
-        if c.spans and present.issuperset(c.spans)
-        else c.name
+        (
+            between_dates(values[c.name], *(values[d] for d in c.spans))
+            if c.spans and present.issuperset(c.spans)
+            else values[c.name]
+        ).alias(c.name)
         for c in spec.columns
     ]
-    return parsed.select(*guarded, period.alias(spec.period_column))
+    return df.select(*guarded, period.alias(spec.period_column))
 
 
 def align_all(
