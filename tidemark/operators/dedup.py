@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,6 +37,50 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Mapping[str, str]) ->
     return df.withColumn("__rank", F.row_number().over(window)).filter("__rank = 1").drop("__rank")
 
 
+# Keys are dealt to so many buckets to say which rows must be ranked; as many rows are broadcast at most.
+BUCKETS = 1 << 16
+
+
+def first_values(
+    df: DataFrame, keys: Sequence[str], order: Mapping[str, str], values: Mapping[str, Column]
+) -> DataFrame:
+    """The key columns of :func:`keep_first` with ``values`` of the rows kept, most rows not ranked.
+
+    ``values`` are numbers, never NULL, made from columns of ``df``.  Where all rows of a key
+    have the same ones it does not matter which row is kept, and only keys and values are
+    computed, aggregated and shuffled.  Rows in a bucket with any other key are ranked in
+    full; without such a bucket adaptive execution leaves that branch out.
+    """
+    key = [F.col(f"`{k}`") for k in keys]
+    if not values:
+        return df.select(*key).distinct()
+    # Never NULL, so that joins on it need no filter, which would keep the aggregation from being reused.
+    bucket = F.xxhash64(*key).bitwiseAND(F.lit(BUCKETS - 1))
+    least = {name: F.col(f"`{name}`") for name in values}
+    most = {name: F.col(f"`__most_{name}`") for name in values}
+    totals = (
+        df.select(*key, *[value.alias(name) for name, value in values.items()])
+        .groupBy(*key)
+        .agg(*[F.min(c).alias(n) for n, c in least.items()], *[F.max(c).alias(f"__most_{n}") for n, c in least.items()])
+        .withColumn("__bucket", bucket)
+    )
+    agreed = reduce(Column.__and__, [least[name] == most[name] for name in values])
+    disputed = F.broadcast(totals.filter(~agreed).select("__bucket").distinct())
+    settled = totals.filter(agreed).join(disputed, "__bucket", "left_anti")
+    open_rows = df.withColumn("__bucket", bucket).join(disputed, "__bucket")
+    ranked = keep_first(open_rows.drop("__bucket"), keys, order)
+    return settled.select(*key, *least.values()).unionByName(
+        ranked.select(*key, *[value.alias(name) for name, value in values.items()])
+    )
+
+
 def keep_latest(df: DataFrame, keys: Sequence[str], loaded_at: str, file_name: str) -> DataFrame:
     """The latest load of each key; of one load, the first file by name."""
     return keep_first(df, keys, {loaded_at: "desc", file_name: "asc"})
+
+
+def latest_values(
+    df: DataFrame, keys: Sequence[str], loaded_at: str, file_name: str, values: Mapping[str, Column]
+) -> DataFrame:
+    """:func:`first_values` of the rows of :func:`keep_latest`."""
+    return first_values(df, keys, {loaded_at: "desc", file_name: "asc"}, values)

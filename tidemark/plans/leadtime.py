@@ -27,7 +27,7 @@ from tidemark.functions.text import (
     table_name,
 )
 from tidemark.operators import publish, quality
-from tidemark.operators.dedup import keep_latest
+from tidemark.operators.dedup import keep_latest, latest_values
 from tidemark.operators.drift import (
     ColumnSpec,
     SourceSpec,
@@ -124,14 +124,14 @@ STATIC_SOURCES = [*HISTORICAL[:-1], replace(HISTORICAL[-1], end=None)]
 
 
 def normalize(legs: DataFrame) -> DataFrame:
-    """Trim and case the descriptive columns; measures, dates and lineage pass through."""
+    """Trim and case the descriptive columns there are; measures, dates and lineage pass through."""
     codes = ["wh", "div", "container_size", "customer", "region"]
-    # Two steps, so that the port text is computed once and then looked up.
-    return legs.withColumn("port", port_text(F.col("port"))).withColumns({
-        **{c: code_text(F.col(c)) for c in codes},
-        **{c: blank_to_null(F.col(c)) for c in ["asn", "folio"]},
-        "port": port_name(F.col("port")),
-    })
+    text = {c: code_text(F.col(c)) for c in codes} | {c: blank_to_null(F.col(c)) for c in ["asn", "folio"]}
+    if "port" in legs.columns:
+        # Two steps, so that the port text is computed once and then looked up.
+        legs = legs.withColumn("port", port_text(F.col("port")))
+        text["port"] = port_name(F.col("port"))
+    return legs.withColumns({c: value for c, value in text.items() if c in legs.columns})
 
 
 def build_silver(
@@ -160,6 +160,25 @@ def finish_silver(legs: DataFrame, spec: TableSpec = LEG_TABLE, *, normalize_fir
     return legs.select(*described, PERIOD, *lineage)
 
 
+def silver_keys(
+    legs: DataFrame, sources: Iterable[SourceSpec] | None = None, known: Sequence[str] = ()
+) -> DataFrame:
+    """What reports read of :func:`finish_silver`: its leg keys, and no column that they do not need.
+
+    With ``sources`` also the period of each leg, with ``known`` further columns that are 1
+    where Silver's have a value and NULL where they have none.
+    """
+    labels = [] if sources is None else [F.lit(p) for p in dict.fromkeys(s.period for s in sources)]
+    values = {f"__{c}": F.col(c).isNotNull().cast("int") for c in known}
+    if labels:
+        values[f"_{PERIOD}"] = F.coalesce(F.array_position(F.array(*labels), F.col(PERIOD)), F.lit(0))
+    kept = latest_values(legs, fixed.LEG_KEY, INSERT_TS, SOURCE_FILE, values)
+    shown = [F.nullif(F.col(f"__{c}"), F.lit(0)).alias(c) for c in known]
+    if labels:
+        shown.append(F.get(F.array(*labels), F.col(f"_{PERIOD}").cast("int") - 1).alias(PERIOD))
+    return normalize(kept.select(*fixed.LEG_KEY, *shown))
+
+
 def all_sources(
     tables: Mapping[str, DataFrame],
     historical: Sequence[SourceSpec] = tuple(HISTORICAL),
