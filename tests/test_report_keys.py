@@ -45,6 +45,13 @@ def test_period_report_ranks_no_leg_where_periods_agree(spark, items):
     assert len(scans) == 7 and not any("l_extendedprice" in columns for columns in scans)
 
 
+@pytest.mark.parametrize("name", ["report_duplicates", "null_gate"])
+def test_reports_on_keys_rank_nothing(spark, items, name):
+    plan = QUERIES[name](spark, items)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" not in plan and "row_number" not in plan
+    assert not any("l_extendedprice" in columns for columns in re.findall(r"FileScan parquet \[([^]]*)", plan))
+
+
 def test_first_values_are_those_of_the_rows_kept(spark):
     rows = spark.range(4000).select(
         F.when(F.col("id") % 7 != 0, (F.col("id") % 900).cast("string")).alias("k"),
